@@ -32,8 +32,9 @@ def utc_timestamp(text: Column) -> Column:
 
 
 def utc_wall_clock(instant: Column) -> Column:
-    """The UTC wall clock of a timestamp, as timestamp_ntz."""
-    return F.to_utc_timestamp(instant, F.current_timezone()).cast("timestamp_ntz")
+    """The UTC wall clock of a timestamp, as timestamp_ntz, whatever the session zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def number(text: Column) -> Column:

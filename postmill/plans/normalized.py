@@ -47,6 +47,7 @@ def jobs_fact(
 ) -> DataFrame:
     """The fact table: four foreign keys, decimals for salaries, null for unknown ones."""
     # The tables that tend to be small come first, so that the rows pass few splits.
+    jobs = jobs.drop("company_id")  # the key of the core table; this model has its own
     rows = jobs
     for dimension, column in ((schedule_type, "job_schedule_type"), (platform, "job_via"), (company, "company_name")):
         rows = lookup(rows, dimension.withColumnRenamed("name", column), [column], "left", counted=jobs)

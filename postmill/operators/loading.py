@@ -8,38 +8,53 @@ from pyspark.sql import functions as F
 from postmill.operators.dimensions import given_names
 from postmill.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup
 from postmill.operators.keys import next_ids
+from postmill.operators.quality import duplicate_keys
 from postmill.session import written
 
 
-def one_per_key(batch: DataFrame, key: str) -> DataFrame:
+def one_per_key(batch: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> DataFrame:
     """One row per key: the smallest by all columns.
 
-    min of a struct is combined before the shuffle, so copies of one key never
-    meet in one task as they would in a window.
+    Only keys are shuffled to find those that repeat; rows with a key of their own
+    stay where they are. For the others min of a struct is combined before the
+    shuffle, so copies of one key never meet in one task as they would in a window.
+
+    `batch` is read more than once: pass a written table.
     """
+    repeated = written(duplicate_keys(batch, [key]).select(key), "repeated-keys")
+    single = lookup(batch, repeated, [key], "left_anti", limit)
     rest = [c for c in batch.columns if c != key]
-    kept = batch.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row"))
-    return kept.select(*[F.col(key) if c == key else F.col(f"_row.{c}").alias(c) for c in batch.columns])
+    kept = (
+        lookup(batch, repeated, [key], "left_semi", limit)
+        .groupBy(key)
+        .agg(F.min(F.struct(*rest)).alias("_row"))
+        .select(key, "_row.*")
+    )
+    return single.unionByName(kept)
 
 
-def absent_rows(batch: DataFrame, target: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+def absent_rows(
+    batch: DataFrame, target: DataFrame, key: str, unique: bool = False, limit: int = BROADCAST_BYTES
+) -> DataFrame:
     """Rows of batch, one per key, whose key is not in target; null keys are dropped.
 
     A batch whose keys fit a broadcast is checked by one scan of target's key
     column, without a shuffle of target; a larger one is joined by shuffle, where
-    both sides hold each key once.
+    both sides hold each key once. `unique` tells that no key repeats in batch.
     """
-    batch = one_per_key(batch.where(F.col(key).isNotNull()), key)
-    held = target.select(key)
+    batch = batch.where(F.col(key).isNotNull())
     keys = batch.select(key)
+    if not unique:
+        batch = one_per_key(batch, key, limit)
+    held = target.select(key)
     if fits_broadcast(keys, limit):
         held = held.join(F.broadcast(keys), key, "left_semi")
     return batch.join(held, key, "left_anti")
 
 
-def insert_absent(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+def insert_absent(target: DataFrame, batch: DataFrame, key: str, unique: bool = False) -> DataFrame:
     """New state of target after the insert."""
-    return target.unionByName(absent_rows(batch, target, key))
+    return target.unionByName(absent_rows(batch, target, key, unique))
 
 
 def insert_absent_names(dimension: DataFrame, source: DataFrame, name: str, id_name: str) -> DataFrame:

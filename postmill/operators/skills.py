@@ -1,4 +1,9 @@
-"""Job-to-skill relations from list and dict literals."""
+"""Job-to-skill relations from list and dict literals.
+
+Rows are made distinct by a shuffle in general. Where every job_id is known to
+occur once (`unique_jobs`), the rows of a job all come from its own text, so
+duplicates are dropped inside the row and nothing is shuffled.
+"""
 
 from __future__ import annotations
 
@@ -6,67 +11,100 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.functions.literals import dict_literal, last_entries, list_literal
-from postmill.functions.text import normal_name
+from postmill.functions.text import normal_name, strip
 from postmill.operators.joins import lookup
 
-PAIR = "array<struct<key:string,value:array<string>>>"
+NAMES = "array<string>"
+ENTRIES = "array<struct<key:string,value:array<string>>>"
+
+
+def _or_none(values: Column, kind: str) -> Column:
+    return F.coalesce(values, F.array().cast(kind))
 
 
-def _no_blank(df: DataFrame) -> DataFrame:
-    return df.where(F.col("skill_name").isNotNull() & (F.col("skill_name") != ""))
+def _named(name: Column) -> Column:
+    """Neither null nor blank. Stripping alone decides, so the name is not folded twice."""
+    return strip(name) != ""
 
 
-def _names(column: Column, df: DataFrame, name: str) -> Column:
+def _list_names(df: DataFrame, column: str) -> Column:
     """The list column, parsed if it is still text."""
-    return list_literal(column) if dict(df.dtypes)[name] == "string" else column
+    return list_literal(F.col(column)) if dict(df.dtypes)[column] == "string" else F.col(column)
 
 
 # The explodes below are the outer kind: for the inner kind Catalyst adds a size
 # filter on the exploded expression and would parse every text twice. The null
-# rows they add fall to _no_blank.
+# rows they add fall to the filter on names.
 
 
 def list_skills(df: DataFrame, column: str = "job_skills") -> DataFrame:
     """(job_id, skill_name), distinct, from a list column or list literal text."""
-    rows = df.select("job_id", F.explode_outer(_names(F.col(column), df, column)).alias("skill_name"))
-    return _no_blank(rows.withColumn("skill_name", normal_name(F.col("skill_name")))).distinct()
+    rows = df.select("job_id", F.explode_outer(_list_names(df, column)).alias("_name"))
+    return rows.where(_named(F.col("_name"))).select("job_id", normal_name(F.col("_name")).alias("skill_name")).distinct()
 
 
 def typed_skills(df: DataFrame, column: str = "job_type_skills") -> DataFrame:
     """(job_id, skill_group, skill_name), distinct, from dict literal text."""
     entries = last_entries(dict_literal(F.col(column)))
-    return _relation(df.select("job_id", entries.alias("entries")))
+    return _spread(df.select("job_id", entries.alias("entries")), False)
 
 
 def all_skills(
-    df: DataFrame, list_column: str = "job_skills", dict_column: str = "job_type_skills"
+    df: DataFrame,
+    list_column: str = "job_skills",
+    dict_column: str = "job_type_skills",
+    unique_jobs: bool = False,
 ) -> DataFrame:
-    """Union of both relations; rows from the list have a null group.
+    """Union of both relations; rows from the list have a null group."""
+    return _spread(_entries(df, list_column, dict_column), unique_jobs)
+
 
-    The list joins the dict entries as one more entry without a key, so the source
-    is scanned and parsed once and no union is needed.
+def _entries(df: DataFrame, list_column: str, dict_column: str) -> DataFrame:
+    """(job_id, entries): the dict entries, with the list in front as one without a key.
+
+    So the source is scanned and parsed once, and no union is needed.
     """
     parsed = df.select(
         "job_id",
-        _names(F.col(list_column), df, list_column).alias("names"),
+        _list_names(df, list_column).alias("names"),
         dict_literal(F.col(dict_column)).alias("groups"),
     )
     ungrouped = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("names").alias("value")))
-    grouped = F.coalesce(last_entries(F.col("groups")), F.array().cast(PAIR))
-    return _relation(parsed.select("job_id", F.concat(ungrouped, grouped).alias("entries")))
+    grouped = _or_none(last_entries(F.col("groups")), ENTRIES)
+    return parsed.select("job_id", F.concat(ungrouped, grouped).alias("entries"))
 
 
-def _relation(entries: DataFrame) -> DataFrame:
-    rows = (
-        entries.select("job_id", F.explode_outer("entries").alias("entry"))
+def _spread(rows: DataFrame, unique_jobs: bool) -> DataFrame:
+    if unique_jobs:
+        return _spread_in_row(rows)
+    groups = rows.select("job_id", F.explode_outer("entries").alias("_entry"))
+    names = groups.select(
+        "job_id", F.col("_entry.key").alias("_group"), F.explode_outer("_entry.value").alias("_name")
+    )
+    return (
+        names.where(_named(F.col("_name")))
         .select(
             "job_id",
-            F.col("entry.key").alias("skill_group"),
-            F.explode_outer("entry.value").alias("skill_name"),
+            normal_name(F.col("_group")).alias("skill_group"),
+            normal_name(F.col("_name")).alias("skill_name"),
+        )
+        .distinct()
+    )
+
+
+def _spread_in_row(rows: DataFrame) -> DataFrame:
+    def pairs(entry: Column) -> Column:
+        return F.transform(
+            F.filter(_or_none(entry["value"], NAMES), _named),
+            lambda name: F.struct(
+                normal_name(entry["key"]).alias("skill_group"), normal_name(name).alias("skill_name")
+            ),
         )
-        .withColumns({c: normal_name(F.col(c)) for c in ("skill_group", "skill_name")})
+
+    distinct = F.array_distinct(F.flatten(F.transform("entries", pairs)))
+    return rows.select("job_id", F.explode_outer(distinct).alias("_pair")).select("job_id", "_pair.*").where(
+        F.col("skill_name").isNotNull()
     )
-    return _no_blank(rows).distinct()
 
 
 def union_relations(listed: DataFrame, typed: DataFrame) -> DataFrame:
@@ -83,11 +121,24 @@ def skill_names(relation: DataFrame) -> DataFrame:
     return relation.select("skill_name").distinct()
 
 
-def bridge(relation: DataFrame, dim_skill: DataFrame) -> DataFrame:
-    """(job_id, skill_id), distinct.
+def skill_pairs(relation: DataFrame) -> DataFrame:
+    """(job_id, skill_name), distinct, of a relation with groups."""
+    return relation.select("job_id", "skill_name").distinct()
+
+
+def skill_pairs_in_row(
+    df: DataFrame, list_column: str = "job_skills", dict_column: str = "job_type_skills"
+) -> DataFrame:
+    """The same pairs straight from postings in which every job_id occurs once."""
+    values = F.transform("entries", lambda entry: _or_none(entry["value"], NAMES))
+    names = F.array_distinct(F.transform(F.filter(F.flatten(values), _named), normal_name))
+    rows = _entries(df, list_column, dict_column).select("job_id", F.explode_outer(names).alias("skill_name"))
+    return rows.where(F.col("skill_name").isNotNull())
+
+
+def bridge(pairs: DataFrame, dim_skill: DataFrame) -> DataFrame:
+    """(job_id, skill_id) of distinct pairs.
 
-    Pairs are made distinct by name: names and ids are one to one, so no second
-    shuffle is needed after the lookup.
+    Names and ids are one to one, so ids need not be made distinct again.
     """
-    pairs = relation.select("job_id", "skill_name").distinct()
     return lookup(pairs, dim_skill, ["skill_name"], how="left").select("job_id", "skill_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from postmill.fixed import SALARY_DECIMALS
 from postmill.functions.text import utc_wall_clock
-from postmill.operators.dimensions import dim_skill, locations, main_groups, name_dimension
+from postmill.operators.dimensions import main_groups, name_dimension
 from postmill.operators.joins import lookup, null_safe_lookup
 from postmill.operators.skills import bridge
 
@@ -28,12 +28,11 @@ def skill_types(relation: DataFrame) -> DataFrame:
     return name_dimension(relation, "skill_group", "skill_type_id", "name")
 
 
-def skills(relation: DataFrame, types: DataFrame) -> DataFrame:
+def skills(dim_skill: DataFrame, relation: DataFrame, types: DataFrame) -> DataFrame:
     """Skills with the type most of their jobs give; null for skills without one."""
-    groups = main_groups(relation)
     named_types = types.select("skill_type_id", F.col("name").alias("skill_group"))
-    typed = groups.join(named_types, "skill_group").select("skill_name", "skill_type_id")
-    return dim_skill(relation).join(typed, "skill_name", "left").select(
+    typed = lookup(main_groups(relation), named_types, ["skill_group"]).select("skill_name", "skill_type_id")
+    return dim_skill.join(typed, "skill_name", "left").select(
         "skill_id", F.col("skill_name").alias("name"), "skill_type_id"
     )
 
@@ -77,5 +76,6 @@ def jobs_fact(
     )
 
 
-def job_skills(relation: DataFrame, skill: DataFrame) -> DataFrame:
-    return bridge(relation, skill.select("skill_id", F.col("name").alias("skill_name")))
+def job_skills(pairs: DataFrame, skill: DataFrame) -> DataFrame:
+    """The junction table, from (job_id, skill_name) pairs."""
+    return bridge(pairs, skill.select("skill_id", F.col("name").alias("skill_name")))

@@ -299,8 +299,10 @@ def oracle_sql() -> dict[str, str]:
         "skills_from_list": f"with {LISTED} select * from listed",
         "skills_from_dict": f"with {TYPED} select * from typed",
         "job_skill_union": f"with {RELATION} select * from relation",
+        "job_skill_union_unique_ids": f"with {RELATION} select * from relation",
         "dim_skill": f"with {SKILLS} select * from dim_skill",
         "bridge_job_skill": f"with {SKILLS} select * from bridge",
+        "bridge_unique_ids": f"with {SKILLS} select * from bridge",
         "dim_company": f"with {FLAT},{COMPANIES} select * from dim_company",
         "company_names": f"with {FLAT},{COMPANIES} select company_name from dim_company",
         "core_jobs": f"with {JOBS} select {JOB_LIST}, company_id from jobs",

@@ -54,7 +54,7 @@ class Feed:
 
     @cached_property
     def lazy_bridge(self) -> DataFrame:
-        return skills.bridge(self.relation, self.dim_skill)
+        return skills.bridge(skills.skill_pairs(self.relation), self.dim_skill)
 
     @cached_property
     def bridge(self) -> DataFrame:
@@ -166,6 +166,11 @@ def job_skill_union(feed: Feed) -> DataFrame:
     return skills.all_skills(feed.raw)
 
 
+@query
+def job_skill_union_unique_ids(feed: Feed) -> DataFrame:
+    return skills.all_skills(feed.raw, unique_jobs=True)
+
+
 @query
 def dim_skill(feed: Feed) -> DataFrame:
     return dimensions.dim_skill(skills.all_skills(feed.raw))
@@ -176,6 +181,12 @@ def bridge_job_skill(feed: Feed) -> DataFrame:
     return feed.lazy_bridge
 
 
+@query
+def bridge_unique_ids(feed: Feed) -> DataFrame:
+    pairs = skills.skill_pairs_in_row(feed.landed)
+    return skills.bridge(pairs, dimensions.dim_skill(pairs))
+
+
 # --- core -------------------------------------------------------------------
 
 
@@ -438,7 +449,7 @@ def skill_types(feed: Feed) -> DataFrame:
 
 @query
 def skills_typed(feed: Feed) -> DataFrame:
-    return normalized.skills(feed.relation, normalized.skill_types(feed.relation))
+    return normalized.skills(feed.dim_skill, feed.relation, normalized.skill_types(feed.relation))
 
 
 @query
@@ -455,8 +466,8 @@ def jobs_3nf(feed: Feed) -> DataFrame:
 
 @query
 def job_skills_3nf(feed: Feed) -> DataFrame:
-    typed = normalized.skills(feed.relation, normalized.skill_types(feed.relation))
-    return normalized.job_skills(feed.relation, typed)
+    typed = normalized.skills(feed.dim_skill, feed.relation, normalized.skill_types(feed.relation))
+    return normalized.job_skills(skills.skill_pairs(feed.relation), typed)
 
 
 # --- files and tables -------------------------------------------------------

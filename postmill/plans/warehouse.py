@@ -19,7 +19,7 @@ from postmill.operators.loading import (
     one_per_key,
     with_empty_key,
 )
-from postmill.operators.skills import all_skills, bridge
+from postmill.operators.skills import all_skills, bridge, skill_pairs, skill_pairs_in_row
 from postmill.plans import marts, normalized
 from postmill.sources.files import read_postings
 from postmill.sources.tables import create_layers, publish, read_table, write_table
@@ -32,6 +32,7 @@ class Run:
     root: str
     tables: dict[tuple[str, str], DataFrame] = field(default_factory=dict)
     staged_rows: int = 0
+    unique_jobs: bool = False
 
     def __getitem__(self, name: str) -> DataFrame:
         return next(df for (_, table), df in self.tables.items() if table == name)
@@ -47,11 +48,16 @@ def with_job_ids(raw: DataFrame) -> DataFrame:
 
 
 def stage(run: Run, raw: DataFrame) -> DataFrame:
-    """Clean postings and write them; rows are counted by the write itself."""
+    """Clean postings and write them; rows are counted by the write itself.
+
+    Whether job ids repeat is looked up once, by a shuffle of ids alone: if none
+    does, no later step has to shuffle postings or skills to make them distinct.
+    """
     loaded = Observation("staging")
     staging = skills_as_json(clean_postings(with_job_ids(raw))).observe(loaded, F.count("*").alias("rows"))
     table = run.write("staging", "data_jobs_raw", staging)
     run.staged_rows = loaded.get["rows"]
+    run.unique_jobs = quality.duplicate_keys(table, ["job_id"]).isEmpty()
     return table
 
 
@@ -66,17 +72,19 @@ def build_core(
     The skill tables are rebuilt from staging. Jobs and companies known from an
     earlier run stay as they are; only new ones are added.
     """
-    relation = run.write("staging", "job_skill_all", all_skills(staging))
+    unique = run.unique_jobs
+    relation = run.write("staging", "job_skill_all", all_skills(staging, unique_jobs=unique))
     skills = run.write("core", "dim_skill", dim_skill(relation))
-    run.write("core", "bridge_job_skill", bridge(relation, skills))
+    pairs = skill_pairs_in_row(staging) if unique else skill_pairs(relation)
+    run.write("core", "bridge_job_skill", bridge(pairs, skills))
 
-    batch = core_columns(staging)
+    batch = core_columns(staging).where(F.col("job_id").isNotNull())
     if known_jobs is None:
-        jobs = one_per_key(batch.where(F.col("job_id").isNotNull()), "job_id")
-        jobs = run.write("staging", "jobs_to_key", with_empty_key(jobs, "company_id"))
+        jobs = with_empty_key(batch if unique else one_per_key(batch, "job_id"), "company_id")
+        jobs = run.write("staging", "jobs_to_key", jobs)
         companies = run.write("core", "dim_company", dim_company(jobs))
     else:
-        added = with_empty_key(absent_rows(batch, known_jobs, "job_id"), "company_id")
+        added = with_empty_key(absent_rows(batch, known_jobs, "job_id", unique), "company_id")
         jobs = run.write("staging", "jobs_to_key", known_jobs.unionByName(added))
         companies = insert_absent_names(known_companies, jobs, "company_name", "company_id")
         companies = run.write("core", "dim_company", companies)
@@ -93,12 +101,13 @@ def build_normalized(run: Run) -> None:
         "skill_types": normalized.skill_types(relation),
     }
     done = {name: run.write("normalized", name, df) for name, df in tables.items()}
-    skills = run.write("normalized", "skills", normalized.skills(relation, done["skill_types"]))
+    run.write("normalized", "skills", normalized.skills(run["dim_skill"], relation, done["skill_types"]))
     fact = normalized.jobs_fact(
         jobs, done["companies"], done["locations"], done["platforms"], done["schedule_types"]
     )
     run.write("normalized", "jobs_3nf", fact)
-    run.write("normalized", "job_skills_3nf", normalized.job_skills(relation, skills))
+    # Skills keep the ids of dim_skill, so the junction table is the bridge.
+    run.write("normalized", "job_skills_3nf", run["bridge_job_skill"])
 
 
 def mart_views(run: Run) -> dict[str, DataFrame]:

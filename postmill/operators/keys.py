@@ -40,25 +40,30 @@ def next_ids(target: DataFrame, new_rows: DataFrame, order_by: list[str], id_nam
     return dense_ids(new_rows, order_by, id_name, after=highest)
 
 
+PLACE = ["_file", "_start", "_place"]
+
+
+def with_places(scan: DataFrame) -> DataFrame:
+    """Rows of a file scan with the file, the piece of it and a counter that rises within the piece."""
+    return scan.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+
+
 def file_row_ids(scan: DataFrame, id_name: str = "job_id") -> DataFrame:
-    """Number rows read from files 1, 2, ... in file name order, then file order.
+    """Number rows with places 1, 2, ... in file name order, then file order.
 
     A task reads the pieces of files it was given one after the other, so position
     follows from the row counter alone; rows are neither shuffled nor sorted.
     """
-    placed = written(
-        scan.select(
-            "*",
-            F.col("_metadata.file_path").alias("_file"),
-            F.col("_metadata.file_block_start").alias("_start"),
-            F.monotonically_increasing_id().alias("_place"),
-        ),
-        "file-rows",
-    )
+    placed = written(scan, "file-rows")
     pieces = dense_pieces(placed)
+    kept = [c for c in scan.columns if c not in PLACE]
     return lookup(placed, pieces, ["_file", "_start"]).select(
-        (F.col("_place") - F.col("_first") + F.col("_offset") + 1).cast("long").alias(id_name),
-        *scan.columns,
+        (F.col("_place") - F.col("_first") + F.col("_offset") + 1).cast("long").alias(id_name), *kept
     )
 
 

@@ -35,7 +35,7 @@ def broken_rows(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def blank(column: str) -> Column:
-    return F.col(column).isNull() | (F.col(column) == "")
+    return F.col(column).isNull() | (F.col(column).cast("string") == "")
 
 
 # --- keys -------------------------------------------------------------------

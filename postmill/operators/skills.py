@@ -45,8 +45,8 @@ def list_skills(df: DataFrame, column: str = "job_skills") -> DataFrame:
 
 def typed_skills(df: DataFrame, column: str = "job_type_skills") -> DataFrame:
     """(job_id, skill_group, skill_name), distinct, from dict literal text."""
-    entries = last_entries(dict_literal(F.col(column)))
-    return _spread(df.select("job_id", entries.alias("entries")), False)
+    parsed = df.select("job_id", dict_literal(F.col(column)).alias("groups"))
+    return _spread(parsed.select("job_id", last_entries(F.col("groups")).alias("entries")), False)
 
 
 def all_skills(

@@ -1,7 +1,9 @@
 """Time the headline queries and print one JSON line.
 
 BENCH_SF_DIR names the data folder, BENCH_CPUS the local cores. Every query starts
-from the given tables and is drained without collecting rows.
+from the given tables and is drained without collecting rows. Where the folder has a
+sibling sf0.001, each query first runs there once, untimed, so that what is timed is
+the work and not the loading of classes.
 """
 
 from __future__ import annotations
@@ -50,7 +52,10 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     known = queries()
-    drain(spark.range(1))
+    small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
+    if os.path.isdir(small):
+        for name in HEADLINE:
+            drain(known[name](spark, small))
     seconds = {}
     for name in HEADLINE:
         start = time.perf_counter()

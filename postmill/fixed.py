@@ -83,7 +83,7 @@ TEXT_LIMITS = {
     "job_schedule_type": 50,
     "salary_rate": 50,
 }
-SKILL_LIMIT = 100
+SKILL_LIMITS = {"skill_name": 100, "skill_group": 100}
 
 # Declared decimal types of the normalized salaries.
 SALARY_DECIMALS = {"salary_year_avg": "decimal(12,2)", "salary_hour_avg": "decimal(8,2)"}

@@ -12,7 +12,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from postmill.fixed import CLEAN_TYPES, JOB_COLUMNS, REQUIRED_INPUT, SALARY_DECIMALS, TEXT_LIMITS
+from postmill.fixed import (
+    CLEAN_TYPES,
+    JOB_COLUMNS,
+    REQUIRED_INPUT,
+    SALARY_DECIMALS,
+    SKILL_LIMITS,
+    TEXT_LIMITS,
+)
 from postmill.functions.literals import dict_literal, list_literal, unparsable
 from postmill.functions.text import blank_to_null, number, strip, utc_timestamp
 
@@ -98,25 +105,27 @@ def staging_contract(staging: DataFrame) -> DataFrame:
 
 
 def relation_contract(listed: DataFrame) -> DataFrame:
-    """Skill names are text and given, and no (job, skill) pair comes twice."""
+    """Skill names are text and given, and no (job, skill) pair comes twice; one grouping."""
     types = len(wrong_types(listed, {"skill_name": "string"}))
-    return unite(
-        [
-            broken_rows(listed, {"blank_skill_name": blank("skill_name")}),
-            as_rows(listed.agg(F.max(F.lit(types)).alias("skill_name_type"))).fillna(0),
-            duplicated(listed, ["job_id", "skill_name"], "duplicate_job_skill"),
-        ]
+    pairs = listed.groupBy("job_id", "skill_name").agg(F.count("*").alias("_rows"))
+    return as_rows(
+        pairs.agg(
+            F.coalesce(F.sum(F.when(blank("skill_name"), F.col("_rows"))), F.lit(0)).alias("blank_skill_name"),
+            F.lit(types).alias("skill_name_type"),
+            F.count_if(F.col("_rows") > 1).alias("duplicate_job_skill"),
+        )
     )
 
 
 def primary_key(df: DataFrame, keys: list[str], table: str) -> DataFrame:
-    """Null or repeated primary keys."""
+    """Null or repeated primary keys, from one grouping by key."""
+    groups = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    return unite(
-        [
-            broken_rows(df, {f"{table}_pk_null": any_null}),
-            duplicated(df, keys, f"{table}_pk_duplicate"),
-        ]
+    return as_rows(
+        groups.agg(
+            F.coalesce(F.sum(F.when(any_null, F.col("_rows"))), F.lit(0)).alias(f"{table}_pk_null"),
+            F.count_if(F.col("_rows") > 1).alias(f"{table}_pk_duplicate"),
+        )
     )
 
 
@@ -174,9 +183,18 @@ def lost_text(raw: DataFrame) -> DataFrame:
     )
 
 
+def _too_long(limits: dict[str, int]) -> dict[str, Column]:
+    return {c: F.char_length(c) > n for c, n in limits.items()}
+
+
+def too_long(df: DataFrame, limits: dict[str, int] = SKILL_LIMITS) -> DataFrame:
+    """Texts beyond their declared length; as it stands, of the skill relation."""
+    return broken_rows(df, _too_long(limits))
+
+
 def size_limits(jobs: DataFrame, limits: dict[str, int] = TEXT_LIMITS) -> DataFrame:
     """Values too long, or too large for their decimal type, for the normalized tables."""
-    rules = {c: F.char_length(c) > n for c, n in limits.items()}
+    rules = _too_long(limits)
     for column, kind in SALARY_DECIMALS.items():
         rules[column] = F.col(column).isNotNull() & F.col(column).try_cast(kind).isNull()
     return broken_rows(jobs, rules)

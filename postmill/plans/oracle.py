@@ -392,6 +392,13 @@ def oracle_sql() -> dict[str, str]:
             }
         ),
         "dq_lengths": f"with {FLAT} {_checks(LENGTHS)}",
+        "dq_skill_lengths": f"with {RELATION} "
+        + _checks(
+            {
+                "skill_name": "select count(*) from relation where length(skill_name) > 8",
+                "skill_group": "select count(*) from relation where length(skill_group) > 6",
+            }
+        ),
         "dq_contract": f"with {CORE} {_checks(CONTRACT_CHECKS)}",
         "companies": f"with {NORMAL} select * from companies",
         "locations": f"with {NORMAL} select * from locations",

@@ -42,11 +42,11 @@ class Feed:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return cleaning.clean_postings(self.landed)
+        return cleaning.clean_postings(self.raw)
 
     @cached_property
     def relation(self) -> DataFrame:
-        return written(skills.all_skills(self.landed), "relation")
+        return written(skills.all_skills(self.raw), "relation")
 
     @cached_property
     def dim_skill(self) -> DataFrame:
@@ -61,9 +61,14 @@ class Feed:
         return written(self.lazy_bridge, "bridge")
 
     @cached_property
-    def flat_jobs(self) -> DataFrame:
+    def lazy_jobs(self) -> DataFrame:
+        """Of the raw postings only the orders and customers are read."""
         return cleaning.core_columns(self.clean)
 
+    @cached_property
+    def flat_jobs(self) -> DataFrame:
+        return written(self.lazy_jobs, "jobs")
+
     @cached_property
     def dim_company(self) -> DataFrame:
         return dimensions.dim_company(self.flat_jobs)
@@ -133,12 +138,12 @@ def numeric_lenient(feed: Feed) -> DataFrame:
 
 @query
 def clean_postings(feed: Feed) -> DataFrame:
-    return cleaning.with_wall_clocks(cleaning.skills_as_json(cleaning.clean_postings(feed.raw)))
+    return cleaning.with_wall_clocks(cleaning.skills_as_json(feed.clean))
 
 
 @query
 def skills_as_json(feed: Feed) -> DataFrame:
-    staged = cleaning.clean_postings(feed.raw).select("job_id", F.size("job_skills").alias("skills"), "job_skills")
+    staged = feed.clean.select("job_id", F.size("job_skills").alias("skills"), "job_skills")
     return cleaning.skills_as_json(staged)
 
 
@@ -183,7 +188,7 @@ def bridge_job_skill(feed: Feed) -> DataFrame:
 
 @query
 def bridge_unique_ids(feed: Feed) -> DataFrame:
-    pairs = skills.skill_pairs_in_row(feed.landed)
+    pairs = written(skills.skill_pairs_in_row(feed.raw), "pairs")
     return skills.bridge(pairs, dimensions.dim_skill(pairs))
 
 
@@ -192,7 +197,7 @@ def bridge_unique_ids(feed: Feed) -> DataFrame:
 
 @query
 def dim_company(feed: Feed) -> DataFrame:
-    return dimensions.dim_company(cleaning.clean_postings(feed.raw))
+    return dimensions.dim_company(feed.clean)
 
 
 @query
@@ -254,7 +259,7 @@ def skill_postings_direct(feed: Feed) -> DataFrame:
 
 
 def _facts(feed: Feed) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return feed.flat_jobs, feed.lazy_bridge, feed.dim_skill
+    return feed.lazy_jobs, feed.lazy_bridge, feed.dim_skill
 
 
 @query
@@ -291,7 +296,7 @@ def top20_skills_country(feed: Feed) -> DataFrame:
 
 @query
 def preview_jobs(feed: Feed) -> DataFrame:
-    return cleaning.with_wall_clocks(cleaning.core_columns(cleaning.clean_postings(feed.raw)).orderBy("job_id").limit(10))
+    return cleaning.with_wall_clocks(feed.lazy_jobs.orderBy("job_id").limit(10))
 
 
 # --- profiles ---------------------------------------------------------------
@@ -301,7 +306,7 @@ def preview_jobs(feed: Feed) -> DataFrame:
 def layer_counts(feed: Feed) -> DataFrame:
     return profiling.row_counts(
         {
-            "raw_rows": feed.landed,
+            "raw_rows": feed.raw,
             "jobs_rows": feed.flat_jobs,
             "skills_rows": feed.dim_skill,
             "bridge_rows": feed.lazy_bridge,
@@ -321,24 +326,24 @@ FIELDS = {
 
 @query
 def distinct_profile(feed: Feed) -> DataFrame:
-    return profiling.distinct_counts(cleaning.clean_postings(feed.raw), FIELDS)
+    return profiling.distinct_counts(feed.clean, FIELDS)
 
 
 @query
 def distinct_profile_approximate(feed: Feed) -> DataFrame:
-    return profiling.distinct_counts(cleaning.clean_postings(feed.raw), FIELDS, approximate=True)
+    return profiling.distinct_counts(feed.clean, FIELDS, approximate=True)
 
 
 @query
 def null_profile(feed: Feed) -> DataFrame:
-    return profiling.null_profile(cleaning.clean_postings(feed.raw))
+    return profiling.null_profile(feed.clean)
 
 
 @query
 def dup_rows(feed: Feed) -> DataFrame:
     """Postings that differ in nothing but their id and their skills."""
     return profiling.duplicate_members(
-        cleaning.core_columns(cleaning.clean_postings(feed.raw)), ignore=("job_id", *cleaning.SALARY_COLUMNS)
+        feed.lazy_jobs, ignore=("job_id", *cleaning.SALARY_COLUMNS)
     )
 
 
@@ -349,7 +354,7 @@ def skill_profile(feed: Feed) -> DataFrame:
 
 @query
 def table_summary(feed: Feed) -> DataFrame:
-    return profiling.table_summary(cleaning.clean_postings(feed.raw))
+    return profiling.table_summary(feed.clean)
 
 
 # --- checks -----------------------------------------------------------------
@@ -404,16 +409,21 @@ def dq_parse_errors(feed: Feed) -> DataFrame:
 @query
 def dq_lengths(feed: Feed) -> DataFrame:
     """Limits tight enough for the data to break: names of eight letters at most."""
-    jobs = cleaning.clean_postings(feed.raw)
+    jobs = feed.clean
     return quality.size_limits(jobs, {column: 8 for column in quality.TEXT_LIMITS})
 
 
+@query
+def dq_skill_lengths(feed: Feed) -> DataFrame:
+    return quality.too_long(skills.all_skills(feed.raw), {"skill_name": 8, "skill_group": 6})
+
+
 @query
 def dq_contract(feed: Feed) -> DataFrame:
     return quality.unite(
         [
             quality.staging_contract(feed.clean),
-            quality.relation_contract(skills.list_skills(feed.landed)),
+            quality.relation_contract(skills.list_skills(feed.raw)),
             quality.core_constraints(feed.jobs, feed.bridge, feed.dim_skill, feed.dim_company),
         ]
     )
@@ -424,22 +434,22 @@ def dq_contract(feed: Feed) -> DataFrame:
 
 @query
 def companies(feed: Feed) -> DataFrame:
-    return normalized.companies(cleaning.clean_postings(feed.raw))
+    return normalized.companies(feed.clean)
 
 
 @query
 def locations(feed: Feed) -> DataFrame:
-    return dimensions.locations(cleaning.clean_postings(feed.raw))
+    return dimensions.locations(feed.clean)
 
 
 @query
 def platforms(feed: Feed) -> DataFrame:
-    return normalized.platforms(cleaning.clean_postings(feed.raw))
+    return normalized.platforms(feed.clean)
 
 
 @query
 def schedule_types(feed: Feed) -> DataFrame:
-    return normalized.schedule_types(cleaning.clean_postings(feed.raw))
+    return normalized.schedule_types(feed.clean)
 
 
 @query

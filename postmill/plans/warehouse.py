@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +39,7 @@ class Run:
     unique_jobs: bool = False
 
     def __getitem__(self, name: str) -> DataFrame:
-        return next(df for (_, table), df in self.tables.items() if table == name)
+        return next(df for (_, table), df in list(self.tables.items()) if table == name)
 
     def write(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         self.tables[layer, name] = write_table(df, self.root, layer, name)
@@ -61,6 +65,18 @@ def stage(run: Run, raw: DataFrame) -> DataFrame:
     return table
 
 
+def together(*builders: Callable[[], object]) -> None:
+    """Run builders of independent tables at the same time.
+
+    Small tables keep few tasks busy each; side by side they fill the cluster that
+    one after the other they would leave idle.
+    """
+    in_session = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(len(builders)) as pool:
+        for done in [pool.submit(in_session(build)) for build in builders]:
+            done.result()
+
+
 def build_core(
     run: Run,
     staging: DataFrame,
@@ -72,12 +88,24 @@ def build_core(
     The skill tables are rebuilt from staging. Jobs and companies known from an
     earlier run stay as they are; only new ones are added.
     """
+    together(
+        lambda: build_skills(run, staging),
+        lambda: build_jobs(run, staging, known_jobs, known_companies),
+    )
+
+
+def build_skills(run: Run, staging: DataFrame) -> None:
     unique = run.unique_jobs
     relation = run.write("staging", "job_skill_all", all_skills(staging, unique_jobs=unique))
     skills = run.write("core", "dim_skill", dim_skill(relation))
     pairs = skill_pairs_in_row(staging) if unique else skill_pairs(relation)
     run.write("core", "bridge_job_skill", bridge(pairs, skills))
 
+
+def build_jobs(
+    run: Run, staging: DataFrame, known_jobs: DataFrame | None, known_companies: DataFrame | None
+) -> None:
+    unique = run.unique_jobs
     batch = core_columns(staging).where(F.col("job_id").isNotNull())
     if known_jobs is None:
         jobs = with_empty_key(batch if unique else one_per_key(batch, "job_id"), "company_id")
@@ -92,24 +120,40 @@ def build_core(
 
 
 def build_normalized(run: Run) -> None:
-    jobs, relation = run["jobs"], run["job_skill_all"]
-    tables = {
-        "companies": normalized.companies(jobs),
-        "locations": locations(jobs),
-        "platforms": normalized.platforms(jobs),
-        "schedule_types": normalized.schedule_types(jobs),
-        "skill_types": normalized.skill_types(relation),
-    }
-    done = {name: run.write("normalized", name, df) for name, df in tables.items()}
-    run.write("normalized", "skills", normalized.skills(run["dim_skill"], relation, done["skill_types"]))
-    fact = normalized.jobs_fact(
-        jobs, done["companies"], done["locations"], done["platforms"], done["schedule_types"]
-    )
-    run.write("normalized", "jobs_3nf", fact)
+    together(lambda: normalized_skills(run), lambda: normalized_jobs(run))
+
+
+def normalized_skills(run: Run) -> None:
+    relation = run["job_skill_all"]
+    types = run.write("normalized", "skill_types", normalized.skill_types(relation))
+    run.write("normalized", "skills", normalized.skills(run["dim_skill"], relation, types))
     # Skills keep the ids of dim_skill, so the junction table is the bridge.
     run.write("normalized", "job_skills_3nf", run["bridge_job_skill"])
 
 
+def normalized_jobs(run: Run) -> None:
+    jobs = run["jobs"]
+    makers = {
+        "companies": normalized.companies,
+        "locations": locations,
+        "platforms": normalized.platforms,
+        "schedule_types": normalized.schedule_types,
+    }
+    together(*[partial(_write_made, run, name, make, jobs) for name, make in makers.items()])
+    fact = normalized.jobs_fact(jobs, *[run[name] for name in makers])
+    run.write("normalized", "jobs_3nf", fact)
+
+
+def _write_made(run: Run, name: str, make: Callable[[DataFrame], DataFrame], source: DataFrame) -> None:
+    run.write("normalized", name, make(source))
+
+
+def build_marts(run: Run) -> None:
+    """The counting marts as tables; job_skills stays a view."""
+    tables = {name: df for name, df in mart_views(run).items() if name != "job_skills"}
+    together(*[partial(run.write, "marts", name, df) for name, df in tables.items()])
+
+
 def mart_views(run: Run) -> dict[str, DataFrame]:
     jobs, pairs, skills = run["jobs"], run["bridge_job_skill"], run["dim_skill"]
     return {
@@ -145,11 +189,10 @@ def run_batch(raw: DataFrame, root: str, previous: str | None = None, strict: bo
     else:
         build_core(run, staging)
     if strict:
-        quality.enforce(core_report(run))
-    build_normalized(run)
-    for name, df in mart_views(run).items():
-        if name != "job_skills":
-            run.write("marts", name, df)
+        together(lambda: quality.enforce(core_report(run)), lambda: build_normalized(run))
+    else:
+        build_normalized(run)
+    build_marts(run)
     return run
 
 

@@ -11,8 +11,9 @@ from postmill.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     settings = {
-        "spark.sql.shuffle.partitions": "4",
+        "spark.sql.shuffle.partitions": "3",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "4g",
         "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     }

@@ -112,8 +112,9 @@ def build_jobs(
         jobs = run.write("staging", "jobs_to_key", jobs)
         companies = run.write("core", "dim_company", dim_company(jobs))
     else:
+        # Only the new jobs are written here; the known ones are rewritten once, below.
         added = with_empty_key(absent_rows(batch, known_jobs, "job_id", unique), "company_id")
-        jobs = run.write("staging", "jobs_to_key", known_jobs.unionByName(added))
+        jobs = known_jobs.unionByName(run.write("staging", "jobs_to_key", added))
         companies = insert_absent_names(known_companies, jobs, "company_name", "company_id")
         companies = run.write("core", "dim_company", companies)
     run.write("core", "jobs", backfill_key(jobs, companies, "company_name", "company_id"))

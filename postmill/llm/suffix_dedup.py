@@ -14,8 +14,9 @@ window's bytes occur, so windows meet by anchor.
    longest earlier match. Windows matched over their whole length are reported back.
 3. The chunk marks the bytes of the windows reported, removes and counts them.
 
-An anchor that more than HOT chunks have is sent window by window, dealt by the
-window's own bytes, so contexts around a very common passage spread over all buckets.
+An anchor with more than HOT contexts (distinct within their chunk) is sent window by
+window, dealt by the window's own bytes, so the many contexts around the ends of a very
+common passage spread over all buckets.
 
 Defined cases: null text is empty. A row without doc_id comes after all others: it
 removes nothing elsewhere. Rows with equal doc_id do not remove each other's bytes.
@@ -34,18 +35,18 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postmill.llm.arrays import BYTE_CODES, U64, mix, text_bytes
+from postmill.llm.arrays import BYTE_CODES, STEP, U64, distinct, mix, text_bytes, word_hashes
 
 LENGTH = 50
 GRAM = 20
 CHUNK_BYTES = 4 << 20
-HOT = 32
-SLAB = 1 << 20
+HOT = 4000
+SLAB = 1 << 17
 PLACE = U64((1 << 24) - 1)
 LAST = np.iinfo(np.int64).max
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-LISTED = "bucket long, chunk long, hashes binary"
+LISTED = "bucket long, chunk long, hashes binary, contexts binary"
 SEEN = "chunk long, kind int, bucket long, body binary"
 SENT = "bucket long, chunk long, docs binary, groups binary, sizes binary, strings binary"
 
@@ -60,14 +61,14 @@ def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
                 built, done = have, width
             else:
                 n = len(data) - done - width + 1
-                built = mix(built[:n] * U64(0xA0761D6478BD642F) + have[done : done + n])
+                built = built[:n] * U64(0xA0761D6478BD642F) + have[done : done + n]
                 done += width
         rest >>= 1
         if rest:
             n = len(have) - width
-            have = mix(have[:n] * U64(0xE7037ED1A0B428DB) + have[width : width + n])
+            have = have[:n] * U64(STEP) + have[width : width + n]
             width *= 2
-    return built
+    return mix(built)
 
 
 def sliding_min(keys: np.ndarray, width: int) -> np.ndarray:
@@ -125,11 +126,19 @@ class Chunk:
         self.keys, self.slot = np.unique((self.bucket.astype(np.uint64) << U64(32)) | high, return_inverse=True)
 
     def listed(self):
+        """Per bucket the hashes of this chunk's anchors and the distinct contexts of each."""
+        contexts = np.ones(len(self.keys), np.int64)
+        again = np.flatnonzero(np.bincount(self.slot, minlength=len(self.keys))[self.slot] > 1)
+        strings = word_hashes(self.data, self.firsts[again], self.lasts[again] + self.length)
+        _, slots, _ = distinct(strings, self.slot[again])
+        several, number = np.unique(slots, return_counts=True)
+        contexts[several] = number
+        contexts = np.minimum(contexts, 65535).astype(np.uint16)
         bucket = (self.keys >> U64(32)).astype(np.int64)
         short = (self.keys & U64(0xFFFFFFFF)).astype(np.uint32)
         edges = np.flatnonzero(np.diff(bucket, prepend=-1))
         for start, stop in zip(edges, np.append(edges[1:], len(bucket)), strict=True):
-            yield int(bucket[start]), short[start:stop].tobytes()
+            yield int(bucket[start]), short[start:stop].tobytes(), contexts[start:stop].tobytes()
 
     def contexts(self, seen: dict[int, bytes]):
         """Distinct byte strings around shared anchors, in a fixed order.
@@ -268,19 +277,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, chun
     key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("doc_id"))
     dealt = docs.select(F.pmod(key, F.lit(count)).alias("chunk"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
 
-    list_schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("hashes", pa.binary())])
+    list_schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("hashes", pa.binary()), ("contexts", pa.binary())])
     seen_schema = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int64()), ("body", pa.binary())])
     sent_schema = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64())] + [(c, pa.binary()) for c in ("docs", "groups", "sizes", "strings")])
     done_schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
 
     def list_anchors(key, table):
         rows = list(Chunk(table, count, length, gram).listed())
-        return _table({"bucket": [b for b, _ in rows], "chunk": [key[0].as_py()] * len(rows), "hashes": [h for _, h in rows]}, list_schema)
+        return _table({"bucket": [r[0] for r in rows], "chunk": [key[0].as_py()] * len(rows), "hashes": [r[1] for r in rows], "contexts": [r[2] for r in rows]}, list_schema)
 
     def tell_shared(key, table):
         lists = [np.frombuffer(x, np.uint32) for x in table["hashes"].to_pylist()]
         _, place, often = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-        state = np.where(often > HOT, 2, np.where(often > 1, 1, 0)).astype(np.uint8)[place]
+        contexts = np.bincount(place, np.concatenate([np.frombuffer(x, np.uint16) for x in table["contexts"].to_pylist()]))
+        state = np.where((often > 1) & (contexts > HOT), 2, np.where(often > 1, 1, 0)).astype(np.uint8)[place]
         parts = np.split(state, np.cumsum([len(x) for x in lists])[:-1])
         n = len(lists)
         return _table({"chunk": table["chunk"].to_pylist(), "kind": [0] * n, "bucket": [key[0].as_py()] * n, "body": [p.tobytes() for p in parts]}, seen_schema)

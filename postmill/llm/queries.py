@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import suffix_dedup
+from postmill.llm import bagminhash, containment, content_archive, host_reputation, quality_ratio, suffix_dedup, systematic_mix
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,44 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
 
 
+def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_archive.archived(table(spark, sf_dir, "pages"))
+
+
+def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = host_reputation.label_outcomes(table(spark, sf_dir, "labels"))
+    return host_reputation.verdicts(table(spark, sf_dir, "pages"), outcomes)
+
+
+def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return systematic_mix.mix_report(table(spark, sf_dir, "documents"))
+
+
+def op9_containment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return containment.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ratio.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_bagminhash": op3_bagminhash,
+    "op5_content_archive": op5_content_archive,
+    "op6_host_reputation": op6_host_reputation,
+    "op8_systematic_mix": op8_systematic_mix,
+    "op9_containment": op9_containment,
+    "op10_quality_ratio": op10_quality_ratio,
 }
 
+# The archive's index follows from the table alone: equal payloads, smallest page_id.
+OP5 = """
+select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, null as x from pages
+"""
+
 ORACLE_SQL: dict[str, str] = {}

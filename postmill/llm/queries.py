@@ -6,13 +6,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postmill.llm import bagminhash, containment, content_archive, host_reputation, quality_ratio, suffix_dedup, systematic_mix
+from postmill.llm import (
+    bagminhash,
+    containment,
+    content_archive,
+    crf,
+    host_reputation,
+    huffman_ids,
+    quality_ratio,
+    secret_tests,
+    suffix_dedup,
+    systematic_mix,
+)
+
+TOKENIZER = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def op1_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crf.languages(table(spark, sf_dir, "documents"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
 
@@ -21,6 +44,10 @@ def op3_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return huffman_ids.encoded(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op5_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_archive.archived(table(spark, sf_dir, "pages"))
 
@@ -30,6 +57,10 @@ def op6_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_reputation.verdicts(table(spark, sf_dir, "pages"), outcomes)
 
 
+def op7_secret_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_tests.secrets(table(spark, sf_dir, "documents"))
+
+
 def op8_systematic_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return systematic_mix.mix_report(table(spark, sf_dir, "documents"))
 
@@ -43,18 +74,16 @@ def op10_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_crf": op1_crf,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_bagminhash": op3_bagminhash,
+    "op4_huffman_ids": op4_huffman_ids,
     "op5_content_archive": op5_content_archive,
     "op6_host_reputation": op6_host_reputation,
+    "op7_secret_tests": op7_secret_tests,
     "op8_systematic_mix": op8_systematic_mix,
     "op9_containment": op9_containment,
     "op10_quality_ratio": op10_quality_ratio,
 }
 
-# The archive's index follows from the table alone: equal payloads, smallest page_id.
-OP5 = """
-select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, null as x from pages
-"""
-
 ORACLE_SQL: dict[str, str] = {}

@@ -251,6 +251,18 @@ class Labeller:
         return [self.model.labels[b] if n else UNKNOWN for b, n in zip(best, number, strict=True)], np.clip(score, 0.0, 1.0).tolist()
 
 
+_latest: list = [None, None]
+
+
+def labeller_of(model: Model | None) -> Labeller | None:
+    """The worker's labeller of a model: words that one task has met serve the next."""
+    if model is None:
+        return None
+    if _latest[0] is not model:
+        _latest[:] = model, Labeller(model)
+    return _latest[1]
+
+
 def held_out(doc_id) -> object:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(True))
 
@@ -277,8 +289,7 @@ def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def label(batches):
-        model = sent.value
-        labeller = Labeller(model) if model else None
+        labeller = labeller_of(sent.value)
         for batch in pieces(batches, "text", 1 << 21):
             texts = batch.column("text").to_pylist()
             langs, scores = labeller.texts(texts) if labeller else ([UNKNOWN] * len(texts), [0.0] * len(texts))

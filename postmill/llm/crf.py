@@ -9,11 +9,14 @@ code-switched text.
 
 A text's words get marginals by forward-backward. Chains are cut into pieces of STEPS
 words; products of a piece's transition matrices carry the messages from piece to piece,
-so all pieces of all texts of a batch advance together and results are exact.
+so all pieces of all texts of a batch advance together and results are exact. With more
+than COLUMNS labels these products cost more than they save, and a text's pieces follow
+each other instead.
 
-Training rows are a bounded sample: for each of at most LABELS languages (the most
-frequent) about SAMPLE rows, chosen by hash, with PIECES stretches of PIECE words spread
-over the whole text. Prediction reads every word of every text.
+Every language of the training rows is a label. The rows are a bounded sample: of each
+language about SAMPLE, or, where that is more than ROWS in all, an equal share of ROWS
+but no fewer than LEAST; chosen by hash, with PIECES stretches of PIECE words spread over
+the whole text. Prediction reads every word of every text.
 
 Defined cases: null text and text without a letter are `und` with score 0. Words without
 a letter say nothing. Rows without doc_id are held out. Without training rows all are
@@ -22,19 +25,21 @@ a letter say nothing. Rows without doc_id are held out. Without training rows al
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from postmill.llm.arrays import pieces
 
 FOLDS = 5
-LABELS = 32
-SAMPLE = 300
+SAMPLE, ROWS, LEAST = 300, 9600, 50
+COLUMNS = 32
 PIECES, PIECE = 12, 15
 FEATURES = 1 << 17
 EPOCHS = 4
@@ -70,6 +75,11 @@ class Model:
         return emissions(lists, self.weights)
 
 
+def columns(k: int) -> list[slice]:
+    """The labels in blocks of COLUMNS, so that what is gathered per feature stays small."""
+    return [slice(j, min(j + COLUMNS, k)) for j in range(0, k, COLUMNS)]
+
+
 def emissions(lists: list[list[int]], weights: np.ndarray) -> np.ndarray:
     """Mean weight of each word's features, times the square root of their number."""
     sizes = np.array([len(x) for x in lists], np.int64)
@@ -78,7 +88,8 @@ def emissions(lists: list[list[int]], weights: np.ndarray) -> np.ndarray:
     if len(has):
         flat = np.array([f for x in lists for f in x], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes[has])[:-1]])
-        out[has] = np.add.reduceat(weights[flat], starts) / np.sqrt(sizes[has])[:, None]
+        for part in columns(weights.shape[1]):
+            out[has, part] = np.add.reduceat(weights[flat, part], starts) / np.sqrt(sizes[has])[:, None]
     return out
 
 
@@ -104,49 +115,64 @@ def forward_backward(scores: np.ndarray, counts: np.ndarray, transitions: np.nda
     cells[valid] = emit[(starts[None, :] + np.arange(steps)[:, None])[valid]]
     first = inside == 0
 
-    # Product of each piece's steps; the first word of a text has no transition into it.
-    product = np.broadcast_to(np.eye(k), (n, k, k)).copy()
-    for t in range(steps):
-        live = valid[t]
-        grown = product[live] @ move if t else np.where(first[live][:, None, None], product[live], product[live] @ move)
-        grown = grown * cells[t][live][:, None, :]
-        product[live] = grown / grown.sum(axis=(1, 2), keepdims=True)
     into, outof = np.ones((n, k)) / k, np.ones((n, k)) / k
-    at = np.flatnonzero(first)
-    for i in range(1, int(per.max())):
-        now = at[per > i] + i
-        message = np.einsum("nk,nkj->nj", into[now - 1], product[now - 1])
-        into[now] = message / message.sum(axis=1, keepdims=True)
     last = np.cumsum(per) - 1
-    for i in range(1, int(per.max())):
-        now = last[per > i] - i
-        message = np.einsum("nkj,nj->nk", product[now + 1], outof[now + 1])
-        outof[now] = message / message.sum(axis=1, keepdims=True)
+    if k <= COLUMNS:
+        # Product of each piece's steps; the first word of a text has no transition into it.
+        product = np.broadcast_to(np.eye(k), (n, k, k)).copy()
+        for t in range(steps):
+            live = valid[t]
+            grown = product[live] @ move if t else np.where(first[live][:, None, None], product[live], product[live] @ move)
+            grown = grown * cells[t][live][:, None, :]
+            product[live] = grown / grown.sum(axis=(1, 2), keepdims=True)
+        at = np.flatnonzero(first)
+        for i in range(1, int(per.max())):
+            now = at[per > i] + i
+            message = np.einsum("nk,nkj->nj", into[now - 1], product[now - 1])
+            into[now] = message / message.sum(axis=1, keepdims=True)
+        for i in range(1, int(per.max())):
+            now = last[per > i] - i
+            message = np.einsum("nkj,nj->nk", product[now + 1], outof[now + 1])
+            outof[now] = message / message.sum(axis=1, keepdims=True)
+        rounds = [np.arange(n)]
+    else:
+        # First pieces of all texts, second pieces, and so on.
+        rounds = np.split(np.argsort(inside, kind="stable"), np.cumsum(np.bincount(inside))[:-1])
+    ends = np.zeros(n, bool)
+    ends[last] = True
 
     ahead = np.zeros((steps, n, k))
-    state = into
-    for t in range(steps):
-        moved = state @ move
-        if t == 0:
-            moved = np.where(first[:, None], state, moved)
-        now = moved * cells[t]
-        now = now / np.maximum(now.sum(axis=1, keepdims=True), 1e-300)
-        state = np.where(valid[t][:, None], now, state)
-        ahead[t] = state
+    for at in rounds:
+        state = into[at]
+        for t in range(steps):
+            moved = state @ move
+            if t == 0:
+                moved = np.where(first[at][:, None], state, moved)
+            now = moved * cells[t, at]
+            now = now / np.maximum(now.sum(axis=1, keepdims=True), 1e-300)
+            state = np.where(valid[t, at][:, None], now, state)
+            ahead[t, at] = state
+        if len(rounds) > 1:
+            into[at[~ends[at]] + 1] = state[~ends[at]]
     marginal = np.zeros((steps, n, k))
     expected = np.zeros((k, k))
-    back = outof
-    for t in range(steps - 1, -1, -1):
-        both = ahead[t] * back
-        both = both / both.sum(axis=1, keepdims=True)
-        marginal[t] = both
-        live = valid[t] & ~(first if t == 0 else np.zeros(n, bool))
-        gone = (cells[t] * back) @ move.T
-        before = ahead[t - 1] if t else into
-        pair = before[live][:, :, None] * move[None] * (cells[t] * back)[live][:, None, :]
-        expected += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        gone = gone / np.maximum(gone.sum(axis=1, keepdims=True), 1e-300)
-        back = np.where(valid[t][:, None], gone, back)
+    for at in reversed(rounds):
+        back = outof[at]
+        for t in range(steps - 1, -1, -1):
+            both = ahead[t, at] * back
+            both = both / both.sum(axis=1, keepdims=True)
+            marginal[t, at] = both
+            live = valid[t, at] & ~(first[at] if t == 0 else np.zeros(len(at), bool))
+            here = cells[t, at] * back
+            gone = here @ move.T
+            before = ahead[t - 1, at] if t else into[at]
+            # Each pair's before x move x here, divided by its sum, added over all pairs.
+            total_of = np.maximum((before[live] * gone[live]).sum(axis=1, keepdims=True), 1e-300)
+            expected += move * ((before[live] / total_of).T @ here[live])
+            gone = gone / np.maximum(gone.sum(axis=1, keepdims=True), 1e-300)
+            back = np.where(valid[t, at][:, None], gone, back)
+        if len(rounds) > 1:
+            outof[at[~first[at]] - 1] = back[~first[at]]
     result = np.zeros((total, k))
     result[(starts[None, :] + np.arange(steps)[:, None])[valid]] = marginal[valid]
     return result, expected
@@ -163,15 +189,16 @@ def train(rows: list[tuple[str, str]], features: int = FEATURES, epochs: int = E
         words = text.split()
         starts = np.unique(np.linspace(0, max(0, len(words) - PIECE), PIECES).astype(int))
         stretches += [(labels.index(lang), words[s : s + PIECE]) for s in starts if words]
-    seen: dict[str, np.ndarray] = {}
+    seen: dict[str, Counter[int]] = {}
     for label, words in stretches:
         for w in words:
             core = "".join(c for c in w.lower() if c.isalpha())
             if core:
-                seen.setdefault(core, np.zeros(len(labels)))[label] += 1
-    common = sorted((w for w in seen if seen[w].sum() >= 3), key=lambda w: (-seen[w].sum(), w))[:LEXICON]
+                seen.setdefault(core, Counter())[label] += 1
+    common = sorted((w for w in seen if seen[w].total() >= 3), key=lambda w: (-seen[w].total(), w))[:LEXICON]
     # A lexicon entry: the word's usual language and how sure that is, in three steps.
-    lexicon = {w: int(seen[w].argmax()) * 3 + int(2.999 * seen[w].max() / seen[w].sum()) for w in common}
+    usual = {w: min(seen[w], key=lambda label, of=seen[w]: (-of[label], label)) for w in common}
+    lexicon = {w: label * 3 + int(2.999 * seen[w][label] / seen[w].total()) for w, label in usual.items()}
     vocabulary = sorted({w for _, words in stretches for w in words})
     number = {w: i for i, w in enumerate(vocabulary)}
     lists = [word_features(w, lexicon, features) for w in vocabulary]
@@ -192,11 +219,13 @@ def train(rows: list[tuple[str, str]], features: int = FEATURES, epochs: int = E
             error[np.arange(len(truth)), truth] += 1
             sizes = np.array([len(x) for x in own])
             flat = np.array([f for x in own for f in x], np.int64)
-            share = np.repeat(error / np.sqrt(np.maximum(sizes, 1))[:, None], sizes, axis=0)
+            error = error / np.sqrt(np.maximum(sizes, 1))[:, None]
             places, slot = np.unique(flat, return_inverse=True)
-            step = np.stack([np.bincount(slot, share[:, j], len(places)) for j in range(k)], axis=1) - 1e-4 * weights[places]
-            grown[places] += step**2
-            weights[places] += RATE * step / np.sqrt(grown[places])
+            for part in columns(k):
+                share = np.repeat(error[:, part], sizes, axis=0)
+                step = np.stack([np.bincount(slot, own_share, len(places)) for own_share in share.T], axis=1) - 1e-4 * weights[places, part]
+                grown[places, part] += step**2
+                weights[places, part] += RATE * step / np.sqrt(grown[places, part])
             joint = np.zeros((k, k))
             joined = np.ones(len(truth), bool)
             joined[np.cumsum(counts)[:-1]] = False
@@ -222,7 +251,7 @@ class Labeller:
 
     def words(self, texts: list[str]):
         """Marginals of all words, which words have a letter, and words per text."""
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > REMEMBERED * COLUMNS // max(COLUMNS, len(self.model.labels)):
             self.forget()
         split = [t.split() for t in texts]
         new = sorted(set().union(*split) - self.known.keys())
@@ -267,30 +296,37 @@ def held_out(doc_id) -> object:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(FOLDS)) == 0, F.lit(True))
 
 
-def training_rows(docs: DataFrame, sample: int = SAMPLE, most_labels: int = LABELS) -> list[tuple[str, str]]:
-    """At most about `sample` (text, lang) rows of each language, chosen by hash."""
+def training_rows(docs: DataFrame, sample: int = SAMPLE, rows: int = ROWS, least: int = LEAST) -> list[tuple[str, str]]:
+    """(text, lang) rows of every language, chosen by hash: of each about `sample`, or its share of `rows`."""
     given = docs.where(~held_out(F.col("doc_id"))).where("lang is not null and text is not null")
-    counts = given.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_labels).collect()
+    place = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    counts = given.groupBy("lang").agg(F.count("*").alias("count"), F.min(place).alias("first")).orderBy("lang").collect()
     if not counts:
         return []
-    place = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, sample / r["count"]))])
+    sample = min(sample, max(least, rows // len(counts)))
+    # Where ids repeat all may lie beyond the share: the first place is always in.
+    large = [x for r in counts if r["count"] > sample for x in (r["lang"], max(sample / r["count"], math.nextafter(r["first"], 1)))]
+    share = F.coalesce(F.element_at(F.create_map(*map(F.lit, large)), F.col("lang")), F.lit(1.0)) if large else F.lit(1.0)
     # Stretches are cut on the executors, so a long text sends no more than a short one.
     words = F.split("text", r"\s+")
     room = F.greatest(F.size(words) - PIECE, F.lit(0))
     cuts = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda i: F.slice(words, (room * i / (PIECES - 1)).cast("int") + 1, F.lit(PIECE)))
     text = F.when(F.size(words) <= PIECE * PIECES, words).otherwise(F.flatten(cuts))
-    chosen = given.where(place < F.coalesce(F.element_at(share, F.col("lang")), F.lit(0.0))).orderBy(place, "doc_id").limit(2 * sample * len(counts))
-    return [(r.text, r.lang) for r in chosen.select(F.array_join(text, " ").alias("text"), "lang").collect()]
+    chosen = given.where(place < share).select(place.alias("place"), "doc_id", "lang", F.array_join(text, " ").alias("text"))
+    # A doc_id on very many rows takes no other language's room.
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc_id", "text"))
+    chosen = chosen.withColumn("nth", nth).where(F.col("nth") <= 2 * sample)
+    return [(r.text, r.lang) for r in chosen.orderBy("place", "doc_id", "lang", "text").select("text", "lang").collect()]
 
 
 def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
     """Per document: doc_id, held_out, lang_pred, score."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
+    most = (1 << 21) * COLUMNS // max(COLUMNS, len(model.labels) if model else 0)
 
     def label(batches):
         labeller = labeller_of(sent.value)
-        for batch in pieces(batches, "text", 1 << 21):
+        for batch in pieces(batches, "text", most):
             texts = batch.column("text").to_pylist()
             langs, scores = labeller.texts(texts) if labeller else ([UNKNOWN] * len(texts), [0.0] * len(texts))
             yield pa.record_batch([batch.column("doc_id"), batch.column("held_out"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "held_out", "lang_pred", "score"])

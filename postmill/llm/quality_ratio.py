@@ -75,8 +75,8 @@ def base_counts(docs: DataFrame, keep: bool = False) -> DataFrame:
     )
     own = F.col("words")
     n = F.size(own)
-    # A window's hash in the upper bits and its place in the lower ones, as many as the
-    # text needs: sorting brings equal windows together and keeps their places.
+    # A window's whole hash and its place: sorting brings equal windows together and
+    # keeps their places.
     windows = F.transform(
         F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(own, i), F.get(own, i + 1), F.get(own, i + 2))
     )
@@ -88,16 +88,14 @@ def base_counts(docs: DataFrame, keep: bool = False) -> DataFrame:
         F.length(F.array_join(own, "")).cast("long").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.when(n >= 4, windows).otherwise(F.array().cast("array<long>")).alias("windows"),
-        F.ceil(F.log2(n + 1)).cast("int").alias("bits"),
     )
-    shifted = F.transform("windows", lambda x, i: F.call_function("shiftleft", x, F.col("bits")).bitwiseOR(i.cast("long")))
+    placed = F.transform("windows", lambda x, i: F.struct(x.alias("hash"), i.alias("place")))
     third = second.withColumn("repeats", F.size(F.array_distinct("windows")) < F.size("windows"))
-    third = third.withColumn("sorted", F.when(F.col("repeats"), F.sort_array(shifted)))
+    third = third.withColumn("sorted", F.when(F.col("repeats"), F.sort_array(placed)))
     at = F.col("sorted")
-    head = lambda i: F.call_function("shiftright", F.get(at, i), F.col("bits"))
+    head = lambda i: F.get(at, i)["hash"]
     twice = F.filter(F.sequence(F.lit(0), F.size(at) - 1), lambda i: (head(i) == head(i - 1)).eqNullSafe(True) | (head(i) == head(i + 1)).eqNullSafe(True))
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bits")) - 1
-    fourth = third.withColumn("places", F.when(F.col("repeats"), F.transform(twice, lambda i: F.get(at, i).bitwiseAND(mask))))
+    fourth = third.withColumn("places", F.when(F.col("repeats"), F.transform(twice, lambda i: F.get(at, i)["place"])))
     covered = F.array_distinct(F.concat(F.col("places"), F.transform("places", lambda p: p + 1), F.transform("places", lambda p: p + 2)))
     fifth = fourth.withColumn("n_repeat_words", F.when(F.col("repeats"), F.size(covered)).otherwise(0).cast("long"))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))

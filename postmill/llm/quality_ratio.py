@@ -1,9 +1,8 @@
 """Quality rules: fixed counts per text, and a hashed n-gram log-likelihood ratio.
 
 Words and word pairs are hashed to BUCKETS buckets. Two multinomials over the buckets
-are counted: the raw one over every document, the target over trusted documents (label
-quality 1, not toxic; a bounded sample by hash, TRUSTED rows at most, as its model is a
-classifier's training set). A document's score is the mean, over its words and pairs,
+are counted: the raw one over every document, the target over all trusted documents
+(label quality 1, not toxic). A document's score is the mean, over its words and pairs,
 of the log ratio of smoothed target and raw probability; one threshold holds for all.
 
 Everything is SQL on built-in functions. Counts are combined before the shuffle to one
@@ -26,7 +25,6 @@ from postmill.llm.words import text_of, words
 from postmill.session import written
 
 BUCKETS = 1 << 14
-TRUSTED = 20_000
 SMOOTHING = 1.0
 THRESHOLD = -0.06
 LEAST_WORDS = 50
@@ -41,15 +39,14 @@ def hashed_grams(own: Column, buckets: int) -> Column:
     return F.concat(single, F.filter(pairs, lambda x: x.isNotNull()))
 
 
-def trusted_ids(labels: DataFrame, trusted: int = TRUSTED) -> DataFrame:
-    """At most `trusted` doc_ids with a good label, the same ones in every run."""
-    good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("good_id")).distinct()
-    return good.orderBy(F.xxhash64("good_id"), "good_id").limit(trusted)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """The doc_ids with a good label, each once."""
+    return labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("good_id")).distinct()
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS, trusted: int = TRUSTED) -> list[float]:
+def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """Per bucket the log of target over raw probability."""
-    good = F.broadcast(written(trusted_ids(labels, trusted), "trusted"))
+    good = written(trusted_ids(labels), "trusted")
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(good, F.col("doc_id") == F.col("good_id"), "left")
     grams = marked.select(F.col("good_id").isNotNull().cast("int").alias("good"), F.explode(hashed_grams(words(F.col("text")), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target")).collect()

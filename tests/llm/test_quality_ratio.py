@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter
 
@@ -39,3 +40,17 @@ def test_windows_alike_in_their_lower_hash_bits_do_not_repeat(spark, monkeypatch
     text = "a b p c d q e f g e f g"
     got = quality_ratio.base_counts(spark.createDataFrame([(1, text)], DOCS)).first()
     assert got.n_repeat_words == repeat_words(text) == 6
+
+
+def test_all_trusted_documents_count(spark):
+    """More good labels than 20,000, most of documents that are not there; repeats and nulls among them."""
+    docs = spark.createDataFrame([(i, "good") for i in range(300)] + [(300, "other"), (None, "good"), (7, "good")], DOCS)
+    labels = spark.range(30_000).selectExpr("if(id < 300, id, id + 1000) as doc_id", "1 as quality", "cast(null as int) as toxic")
+    labels = labels.unionByName(labels.where("doc_id < 3")).unionByName(spark.sql("select cast(null as bigint) doc_id, 1 quality, 0 toxic"))
+    buckets = 64
+    got = quality_ratio.log_ratios(docs, labels, buckets)
+    at = {w: spark.range(1).select(F.pmod(F.xxhash64(F.lit(w)), F.lit(buckets))).first()[0] for w in ("good", "other")}
+    assert at["good"] != at["other"]
+    for word, target, raw in (("good", 301, 302), ("other", 0, 1)):
+        want = math.log((target + 1) / (301 + buckets)) - math.log((raw + 1) / (303 + buckets))
+        assert abs(got[at[word]] - want) < 1e-9

@@ -40,7 +40,7 @@ STAGES = [
     ("token ids", token_ids),
 ]
 
-# Signatures, tokens and word hashes have no SQL; a test holds run() against brute force.
+# Signatures, tokens and word hashes have no SQL. No test holds run() against brute force yet.
 ORACLE_SQL = None
 
 

@@ -10,6 +10,7 @@ from postmill.llm import (
     bagminhash,
     containment,
     content_archive,
+    conversation_repair,
     crf,
     host_reputation,
     huffman_ids,
@@ -17,19 +18,22 @@ from postmill.llm import (
     secret_tests,
     suffix_dedup,
     systematic_mix,
+    vector_codes,
+    vector_packing,
 )
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +77,18 @@ def op10_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ratio.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repairs(conversation_repair.damaged(table(spark, sf_dir, "conversations")))
+
+
+def op13_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_packing.packing_report(table(spark, sf_dir, "documents"), tokenizer_path(BYTE_TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_crf": op1_crf,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -84,6 +100,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_systematic_mix": op8_systematic_mix,
     "op9_containment": op9_containment,
     "op10_quality_ratio": op10_quality_ratio,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_vector_packing": op13_vector_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}

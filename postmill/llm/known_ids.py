@@ -92,7 +92,8 @@ class KnownIds:
         new = np.flatnonzero((entry < 0) & (ends - starts <= LONGEST))
         if len(new):
             first = new[np.unique(hashes[new], return_index=True)[1]]
-            first = first[~np.isin(hashes[first], self.hashes)]
+            at = np.searchsorted(self.hashes, hashes[first])
+            first = first[np.append(self.hashes, np.uint64(0))[at] != hashes[first]]
             if len(first):
                 self.add(hashes[first], words_at(data, starts[first], ends[first]))
             entry[new] = self.find(hashes[new], data, starts[new], ends[new])

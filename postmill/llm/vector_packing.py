@@ -40,9 +40,25 @@ from postmill.session import written
 
 END_ID = 2
 TOKENS = 1024
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
+TOGETHER = 4096
+
+# Kinds of bytes, for the places where words part.
+LETTER, MARK, NEITHER, SPACE, LINE, OTHER = range(6)
+KINDS = np.full(256, NEITHER, np.uint8)
+KINDS[[b for b in range(128) if chr(b).isalpha()]] = LETTER
+KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = MARK
+KINDS[[9, 11, 12, 13]] = OTHER
+KINDS[32], KINDS[10] = SPACE, LINE
 RANK_BITS = 40
 
+# Byte-level models write a byte as itself where it is printable in Latin-1, and else as the next character from 256 on.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+
+# Up to here every library agrees on what a letter is.
+LAST_LETTER = "\u024f"
+
 # White space the tokenizer knows beside ASCII's.
 OTHER_SPACE = "[\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{1C}-\\x{1F}]"
 
@@ -68,9 +84,10 @@ class Capacity:
 class ByteEncoder:
     """Ids of texts by a byte-level tokenizer, from units it never merges across.
 
-    A unit ends before a single space between two characters that are no white space: there the tokenizer's
-    words part, whatever stands around. A text with other white space or an added token
-    goes to the tokenizer whole.
+    The tokenizer's words part, whatever stands around, before a single space and on both sides of a single
+    line feed between characters that are no white space, and between an ASCII letter and ASCII
+    punctuation other than an apostrophe; units end there. A text with other white space or an
+    added token goes to the tokenizer whole.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -81,28 +98,67 @@ class ByteEncoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = KnownIds(self.learn)
 
+    def odd(self, texts: pa.Array) -> np.ndarray:
+        """Texts that hold white space beside ASCII's or an added token."""
+        found = pc.match_substring_regex(texts, OTHER_SPACE)
+        for added in self.added:
+            found = pc.or_(found, pc.match_substring(texts, added))
+        return pc.fill_null(found, False).to_numpy(zero_copy_only=False)
+
     def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)]
-        return np.array([i for ids in found for i in ids], np.uint32), np.array([len(ids) for ids in found], np.int64)
+        """Ids of units, one after the other, and the number of each.
+
+        A unit of letters is one word, which the model takes as it is. Others that neither begin with
+        white space, but for one space, nor end with it are encoded together, parted by line
+        feeds: each is then read as it is on its own.
+        """
+        texts = [w.decode() for w in words]
+        single = [i for i, t in enumerate(texts) if t[t[:1] == " " :].isalpha() and max(t) <= LAST_LETTER]
+        done = set(single)
+        rest = [i for i in range(len(texts)) if i not in done]
+        plain = ~self.odd(pa.array([texts[i] for i in rest], pa.string()))
+        together = [i for i, p in zip(rest, plain.tolist(), strict=True) if p and (t := texts[i]) and not t[-1].isspace() and not t[t[0] == " "].isspace()]
+        found, number = [], np.zeros(len(texts), np.int64)
+        tokenize = self.tokenizer.model.tokenize
+        lists = [[token.id for token in tokenize(words[i].decode("latin-1").translate(ALPHABET))] for i in single]
+        found.append(np.array([x for ids in lists for x in ids], np.uint32))
+        number[: len(single)] = [len(ids) for ids in lists]
+        for at in range(0, len(together), TOGETHER):
+            own = together[at : at + TOGETHER]
+            at += len(single)
+            encoding = self.tokenizer.encode("\n".join([texts[i] for i in own]), add_special_tokens=False)
+            ends = np.cumsum([len(texts[i]) + 1 for i in own])
+            first = np.array([a for a, _ in encoding.offsets], np.int64)
+            owner = np.searchsorted(ends, first, side="right")
+            inside = first < ends[owner] - 1
+            found.append(np.array(encoding.ids, np.uint32)[inside])
+            number[at : at + len(own)] = np.bincount(owner[inside], minlength=len(own))
+        done.update(together)
+        apart = [i for i in rest if i not in done]
+        for at, encoding in enumerate(self.tokenizer.encode_batch([texts[i] for i in apart], add_special_tokens=False), len(done)):
+            found.append(np.array(encoding.ids, np.uint32))
+            number[at] = len(encoding.ids)
+        # From the order they were found in to the order they were asked for.
+        place = np.argsort(np.array(single + together + apart, np.int64), kind="stable")
+        starts = np.cumsum(number) - number
+        return np.concatenate([np.zeros(0, np.uint32), *found])[ranges(starts[place], number[place])], number[place]
 
     def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bytes of all texts, starts and ends of their units, and the first unit of each text."""
         data, offsets = text_bytes(texts)
-        whole = pc.match_substring_regex(texts, OTHER_SPACE)
-        for added in self.added:
-            whole = pc.or_(whole, pc.match_substring(texts, added))
-        whole = pc.fill_null(whole, False).to_numpy(zero_copy_only=False)
-        at = np.flatnonzero(data[1:-1] == 32) + 1
-        space = np.zeros(256, bool)
-        space[[9, 10, 11, 12, 13, 32]] = True
-        at = at[~space[data[at - 1]] & ~space[data[at + 1]]]
-        # Not where the space begins or ends a text.
-        owner = np.searchsorted(offsets, at, side="right") - 1
-        at = at[(at > offsets[owner]) & (at + 1 < offsets[owner + 1]) & ~whole[owner]]
-        filled = offsets[:-1] < offsets[1:]
-        starts = np.sort(np.concatenate([at, offsets[:-1][filled]]))
-        ends = np.append(starts[1:], len(data))[: len(starts)]
-        return data, starts, ends, np.searchsorted(starts, offsets)
+        kind = KINDS[data]
+        between = np.flatnonzero((kind[1:-1] >= SPACE) & (kind[:-2] < SPACE) & (kind[2:] < SPACE)) + 1
+        line = between[kind[between] == LINE]
+        between = between[kind[between] != OTHER]
+        marks = np.flatnonzero((kind[1:] == MARK) & (kind[:-1] == LETTER)) + 1
+        cuts = np.zeros(len(data) + 1, bool)
+        cuts[between] = cuts[line + 1] = cuts[marks] = True
+        # White space that begins or ends a text may be cut off too, whatever stands in the next text.
+        for i in np.flatnonzero(self.odd(texts)).tolist():
+            cuts[offsets[i] : offsets[i + 1]] = False
+        cuts[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+        starts = np.flatnonzero(cuts[:-1])
+        return data, starts, np.append(starts[1:], len(data))[: len(starts)], np.searchsorted(starts, offsets)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end id, and the number of ids of each text."""

@@ -32,7 +32,8 @@ def blanks_to_null(df: DataFrame) -> DataFrame:
 
 
 def fill_floats(df: DataFrame, value: float = 0.0) -> DataFrame:
-    return df.fillna(value, subset=columns_of_type(df, T.DoubleType()))
+    """Null becomes value in every double column; NaN stays, which fillna would change too."""
+    return df.withColumns({c: F.coalesce(c, F.lit(value)) for c in columns_of_type(df, T.DoubleType())})
 
 
 def with_booleans(df: DataFrame, columns: list[str] = BOOLEAN_COLUMNS) -> DataFrame:

@@ -44,8 +44,8 @@ def lookup(
 
     For inner and left, `other` holds each key once, as a dimension does. `other` is broadcast if its measured content is within the limit. Beyond it the
     rows are split by key frequency: rows with a hot key meet a broadcast of the
-    hot part of `other` and never move; the rest, where no key holds more than
-    1/hot_keys of the rows, is joined by shuffle. Both ways give the same rows.
+    hot part of `other`; the rest, where no key holds more than 1/hot_keys of the
+    rows, is joined by shuffle. Both ways give the same rows.
 
     `other` and, for the split, `rows` are read more than once: pass written tables.
     Where rows are the result of earlier lookups, pass the table they began with as
@@ -63,16 +63,10 @@ def _all_given(keys: list[str]) -> Column:
 def _split_join(
     rows: DataFrame, other: DataFrame, keys: list[str], how: str, hot_keys: int, counted: DataFrame
 ) -> DataFrame:
-    total = counted.count()
-    hot = written(
-        counted.where(_all_given(keys))
-        .groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") * hot_keys > total)
-        .select(*keys),
-        "hot-keys",
-    )
+    hot = written(hot_keys_of(counted, keys, hot_keys), "hot-keys")
     hot_other = other.join(F.broadcast(hot), keys, "left_semi")
+    if how == "left":
+        return _left_join(rows, other, hot.join(F.broadcast(hot_other), keys, "left"), keys)
     hot_match = hot.join(F.broadcast(hot_other), keys, how)
     settled = rows.join(F.broadcast(hot_match), keys, "left_semi" if how.startswith("left_") else "inner")
     cold = rows.join(F.broadcast(hot), keys, "left_anti")
@@ -90,6 +84,33 @@ def _split_join(
     return settled.unionByName(met)
 
 
+def hot_keys_of(counted: DataFrame, keys: list[str], hot_keys: int) -> DataFrame:
+    """Keys that hold more than 1/hot_keys of the rows."""
+    total = counted.count()
+    counts = counted.where(_all_given(keys)).groupBy(*keys).agg(F.count("*").alias("_rows"))
+    return counts.where(F.col("_rows") * hot_keys > total).select(*keys)
+
+
+def _left_join(rows: DataFrame, other: DataFrame, hot: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join in which rows with a hot key get their match, or none, from a broadcast.
+
+    Those, and rows without a key, go on under no key, spread over the shuffle partitions. `rows`
+    stands in the plan once, so lookups one after the other read it once.
+    """
+    found = [c for c in other.columns if c not in keys]
+    hot = hot.select(*keys, F.struct(F.lit(True).alias("hit"), *found).alias("_hot"))
+    tagged = rows.join(F.broadcast(hot), keys, "left")
+    alone = ~_all_given(keys) | F.col("_hot").isNotNull()
+    spread = F.when(alone, F.xxhash64(*rows.columns)).otherwise(F.lit(0)).cast("long")
+    cold = {f"_key_{i}": F.when(~alone, F.col(k)) for i, k in enumerate(keys)}
+    names = [F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]
+    right = other.select(*names, F.lit(0).cast("long").alias("_spread"), F.struct(F.lit(True).alias("hit"), *found).alias("_cold"))
+    met = tagged.withColumns({**cold, "_spread": spread}).join(right, [*cold, "_spread"], "left")
+    value = F.coalesce("_hot", "_cold")
+    order = [*keys, *[c for c in rows.columns if c not in keys]]
+    return met.select(*order, *[value[c].alias(c) for c in found])
+
+
 def null_safe_lookup(
     rows: DataFrame,
     other: DataFrame,

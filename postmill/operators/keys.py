@@ -43,10 +43,10 @@ def next_ids(target: DataFrame, new_rows: DataFrame, order_by: list[str], id_nam
 PLACE = ["_file", "_start", "_place"]
 
 
-def with_places(scan: DataFrame) -> DataFrame:
+def with_places(scan: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows of a file scan with the file, the piece of it and a counter that rises within the piece."""
     return scan.select(
-        "*",
+        *(columns or ["*"]),
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_place"),

@@ -7,6 +7,7 @@ fills a third of the table arrives at the join as one row per task.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -163,6 +164,97 @@ def references(jobs: DataFrame, bridge: DataFrame, dim_skill: DataFrame, dim_com
     )
 
 
+# --- declared constraints ---------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Declared:
+    """What a table's definition promises. `references` maps a column to the table whose key it holds."""
+
+    key: tuple[str, ...]
+    unique: tuple[str, ...] = ()
+    references: dict[str, str] = field(default_factory=dict)
+
+    def required(self) -> tuple[str, ...]:
+        return (*self.key, *self.unique)
+
+
+def _named_table(key: str) -> Declared:
+    return Declared((key,), unique=("name",))
+
+
+NORMALIZED = {
+    "companies": _named_table("company_id"),
+    "locations": Declared(("location_id",)),
+    "platforms": _named_table("platform_id"),
+    "schedule_types": _named_table("schedule_type_id"),
+    "skill_types": _named_table("skill_type_id"),
+    "skills": Declared(("skill_id",), unique=("name",), references={"skill_type_id": "skill_types"}),
+    "jobs_3nf": Declared(
+        ("job_id",),
+        references={
+            "company_id": "companies",
+            "location_id": "locations",
+            "platform_id": "platforms",
+            "schedule_type_id": "schedule_types",
+        },
+    ),
+    "job_skills_3nf": Declared(("job_id", "skill_id"), references={"job_id": "jobs_3nf", "skill_id": "skills"}),
+}
+
+
+def declared_constraints(tables: dict[str, DataFrame], declared: dict[str, Declared] = NORMALIZED) -> DataFrame:
+    """Null and repeated keys and names, and references without a parent, of all tables at once.
+
+    Every table is read once: a row becomes one entry per promise, with the value that is
+    promised, and a parent's key one entry more per table that refers to it. Entries are counted by
+    promise and value, which combines them before the shuffle, so a value on a third of the
+    rows is one entry per task; a promise is broken where a value counts more than once or has no parent.
+    """
+    names = [name for table, d in declared.items() for name in promises(table, d)]
+    rows = reduce(DataFrame.unionByName, [_entries(tables[t], t, d, declared) for t, d in declared.items()])
+    counts = rows.groupBy("check", "value").agg(F.sum("held").alias("held"), F.max("parent").alias("parent"))
+    kind = F.element_at(F.split("check", "_"), -1)
+    broken = (
+        F.when(kind == "null", F.col("held"))
+        .when(kind == "duplicate", (F.col("held") > 1).cast("long"))
+        .otherwise(F.when(F.col("parent") == 0, F.col("held")).otherwise(F.lit(0)))
+    )
+    found = counts.groupBy("check").agg(F.sum(broken).alias("violations"))
+    every = found.sparkSession.createDataFrame([(n,) for n in names], "check string")
+    return every.join(F.broadcast(found), "check", "left").select("check", F.coalesce("violations", F.lit(0)).alias("violations"))
+
+
+def promises(table: str, d: Declared) -> list[str]:
+    """Names of the checks on a table."""
+    keys = [f"{table}_pk_duplicate", *[f"{table}_{c}_duplicate" for c in d.unique]]
+    return [*keys, *[f"{table}_{c}_null" for c in d.required()], *[f"{table}_{c}_orphan" for c in d.references]]
+
+
+def _entries(df: DataFrame, table: str, d: Declared, declared: dict[str, Declared]) -> DataFrame:
+    """(check, value, held, parent) of a table's rows; nulls break no uniqueness and refer to nothing."""
+
+    def entry(check: str, value: Column, parent: bool = False) -> Column:
+        made = F.struct(
+            F.lit(check).alias("check"), value.alias("value"), F.lit(int(not parent)).cast("long").alias("held"), F.lit(int(parent)).alias("parent")
+        )
+        return F.when(value.isNotNull(), made)
+
+    text = lambda c: F.col(c).cast("string")
+    whole_key = F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in d.key]), F.to_json(F.struct(*d.key)))
+    entries = [entry(f"{table}_pk_duplicate", whole_key)]
+    entries += [entry(f"{table}_{c}_duplicate", text(c)) for c in d.unique]
+    entries += [entry(f"{table}_{c}_null", F.when(F.col(c).isNull(), F.lit(""))) for c in d.required()]
+    entries += [entry(f"{table}_{c}_orphan", text(c)) for c in d.references]
+    entries += [
+        entry(f"{child}_{c}_orphan", text(d.key[0]), True)
+        for child, other in declared.items()
+        for c, parent in other.references.items()
+        if parent == table
+    ]
+    return df.select(F.explode(F.array(*entries)).alias("e")).where("e is not null").select("e.*")
+
+
 # --- text -------------------------------------------------------------------
 
 

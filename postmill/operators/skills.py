@@ -69,9 +69,18 @@ def _entries(df: DataFrame, list_column: str, dict_column: str) -> DataFrame:
         _list_names(df, list_column).alias("names"),
         dict_literal(F.col(dict_column)).alias("groups"),
     )
-    ungrouped = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.col("names").alias("value")))
-    grouped = _or_none(last_entries(F.col("groups")), ENTRIES)
-    return parsed.select("job_id", F.concat(ungrouped, grouped).alias("entries"))
+    return parsed.select("job_id", joined_entries(F.col("names"), F.col("groups")).alias("entries"))
+
+
+def joined_entries(names: Column, groups: Column) -> Column:
+    """Entries of a parsed list, which has no key, and a parsed dict."""
+    ungrouped = F.array(F.struct(F.lit(None).cast("string").alias("key"), names.alias("value")))
+    return F.concat(ungrouped, _or_none(last_entries(groups), ENTRIES))
+
+
+def relation_of(rows: DataFrame, unique_jobs: bool = False) -> DataFrame:
+    """The relation of all_skills from rows (job_id, entries) that were parsed before."""
+    return _spread(rows.select("job_id", "entries"), unique_jobs)
 
 
 def _spread(rows: DataFrame, unique_jobs: bool) -> DataFrame:
@@ -117,10 +126,6 @@ def union_relations(listed: DataFrame, typed: DataFrame) -> DataFrame:
     )
 
 
-def skill_names(relation: DataFrame) -> DataFrame:
-    return relation.select("skill_name").distinct()
-
-
 def skill_pairs(relation: DataFrame) -> DataFrame:
     """(job_id, skill_name), distinct, of a relation with groups."""
     return relation.select("job_id", "skill_name").distinct()
@@ -130,9 +135,14 @@ def skill_pairs_in_row(
     df: DataFrame, list_column: str = "job_skills", dict_column: str = "job_type_skills"
 ) -> DataFrame:
     """The same pairs straight from postings in which every job_id occurs once."""
+    return pairs_in_row_of(_entries(df, list_column, dict_column))
+
+
+def pairs_in_row_of(rows: DataFrame) -> DataFrame:
+    """(job_id, skill_name) from rows (job_id, entries) in which every job_id occurs once."""
     values = F.transform("entries", lambda entry: _or_none(entry["value"], NAMES))
     names = F.array_distinct(F.transform(F.filter(F.flatten(values), _named), normal_name))
-    rows = _entries(df, list_column, dict_column).select("job_id", F.explode_outer(names).alias("skill_name"))
+    rows = rows.select("job_id", F.explode_outer(names).alias("skill_name"))
     return rows.where(F.col("skill_name").isNotNull())
 
 

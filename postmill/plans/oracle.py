@@ -7,6 +7,7 @@ so they check the parsers independently. Cleaning is restated on the raw posting
 from __future__ import annotations
 
 from postmill.fixed import JOB_COLUMNS, MART_COLUMNS, RAW_COLUMNS, TEXT_LIMITS
+from postmill.operators.quality import NORMALIZED, promises
 from postmill.plans.queries import COUNTRY, FIELDS, TITLE
 
 RAW = """
@@ -166,6 +167,40 @@ skills as (
   left join skill_types on skill_types.name = skill_group)"""
 
 
+# What two loads leave: the contract jobs under their older title, then all others.
+TWO_RUNS = f"""{FLAT},{RELATION.removeprefix(chr(10))},
+old as (select job_id from flat where {CONTRACT}),
+all_jobs as (
+  select * replace (case when {CONTRACT} then concat(job_title, ' old') else job_title end as job_title) from flat),
+held as (
+  select row_number() over (order by company_name) as company_id, company_name
+  from (select distinct company_name from flat where company_name is not null and {CONTRACT})),
+companies as (
+  select company_id, company_name from held
+  union all
+  select (select count(*) from held) + row_number() over (order by company_name), company_name
+  from (select distinct company_name from flat where company_name is not null except select company_name from held)),
+old_skills as (
+  select row_number() over (order by skill_name) as skill_id, skill_name
+  from (select distinct skill_name from relation where job_id in (from old))),
+two_skills as (
+  select * from old_skills
+  union all
+  select (select count(*) from old_skills) + row_number() over (order by skill_name), skill_name
+  from (select distinct skill_name from relation except select skill_name from old_skills)),
+two_bridge as (select distinct job_id, skill_id from relation join two_skills using (skill_name)),
+two_mart as (
+  select all_jobs.*, skill_name from all_jobs join two_bridge using (job_id) join two_skills using (skill_id))"""
+
+
+def _lost(rows: dict[str, str]) -> str:
+    given = {c: "false" for c in TEXT_LIMITS} | {"skill_name": "false", "skill_group": "false"}
+    every = {f"too long {c}": rule for c, rule in given.items()} | {"unparsable salary_hour_avg": "false", "too large salary_hour_avg": "false"}
+    return " union all ".join(
+        f"select '{name}' as \"check\", cast(count(*) filter ({rule}) as bigint) as violations from raw" for name, rule in {**every, **rows}.items()
+    )
+
+
 def _checks(rows: dict[str, str]) -> str:
     return " union all ".join(
         f"select '{name}' as \"check\", cast(({count}) as bigint) as violations" for name, count in rows.items()
@@ -423,6 +458,61 @@ def oracle_sql() -> dict[str, str]:
             select distinct job_id, skill_id from relation join skills on skills.name = skill_name""",
         "csv_roundtrip": f"""with {RAW}
             select row_number() over (order by job_id) as job_id, {', '.join(RAW_COLUMNS)} from raw""",
+        "dq_normalized": f"""with {NORMAL},{GROUPS},
+            pairs as (select distinct job_id, skill_id from relation join skills on skills.name = skill_name),
+            zero as (select unnest([{", ".join(f"'{name}'" for t, d in NORMALIZED.items() for name in promises(t, d))}]) as "check"),
+            broken as (
+              select 'companies_company_id_null' as "check", count(*) as n from companies where company_id % 50 = 0
+              union all select 'companies_name_duplicate', count(*) from companies where company_id % 50 = 0
+              union all select unnest(['platforms_pk_duplicate', 'platforms_name_duplicate']), count(*) from platforms where platform_id % 2 = 0
+              union all select 'schedule_types_name_null', count(*) from schedule_types where schedule_type_id % 2 = 0
+              union all select 'skills_skill_type_id_orphan', count(*) from skills where skill_id % 10 <> 0 and skill_type_id = 1
+              union all select 'jobs_3nf_pk_duplicate', count(*) from flat where job_id % 47 = 0
+              union all select 'jobs_3nf_company_id_orphan', sum(case when job_id % 47 = 0 then 2 else 1 end)
+                        from flat where job_id % 43 = 0 and company_name is not null
+              union all select 'job_skills_3nf_pk_duplicate', count(*) from pairs where job_id % 53 = 0
+              union all select 'job_skills_3nf_skill_id_orphan', sum(case when job_id % 53 = 0 then 2 else 1 end) from pairs where skill_id % 10 = 0)
+            select "check", cast(coalesce(n, 0) as bigint) as violations from zero left join broken using ("check")""",
+        "csv_shuffled_columns": f"""with {RAW}
+            select cast(job_id as varchar) as job_id, {', '.join(RAW_COLUMNS)} from raw""",
+        "csv_ragged": f"""with {RAW}
+            select concat('whole ', job_id) as record, false as ragged from raw
+            union all
+            select concat(job_id, ',', job_country, case when job_id % 2 = 0 then '' else '{"," * len(RAW_COLUMNS)}more' end), true from raw""",
+        "second_run_jobs": f"""with {TWO_RUNS}
+            select {JOB_LIST}, company_id from all_jobs left join companies using (company_name)""",
+        "second_run_bridge": f"with {TWO_RUNS} select job_id, skill_id from two_bridge",
+        "second_run_skill_counts": f"""with {TWO_RUNS}
+            select 'skill_counts' as mart, null as value, skill_name, count(*) as postings from two_mart group by all
+            union all
+            select 'skill_counts_by_title', job_title_short, skill_name, count(*) from two_mart group by all
+            union all
+            select 'skill_counts_by_country', job_country, skill_name, count(*) from two_mart group by all""",
+        "second_run_companies_3nf": f"with {TWO_RUNS} select company_id, company_name as name from companies",
+        "second_run_skills_3nf": f"""with {TWO_RUNS},
+            group_jobs as (select skill_name, skill_group, count(*) as n from typed group by all),
+            main_group as (
+              select skill_name, skill_group from group_jobs
+              qualify row_number() over (partition by skill_name order by n desc, skill_group) = 1)
+            select skill_id, skill_name as name, skill_group as skill_type from two_skills left join main_group using (skill_name)""",
+        "second_run_unnumbered": f"""with {FLAT}
+            select row_number() over (order by coalesce({CONTRACT}, false) desc, job_id) as job_id, {', '.join(RAW_COLUMNS[:15])} from flat""",
+        "run_report": f"""with {RAW}
+            {_lost({
+                "missing job_id": "job_id % 47 = 0",
+                "unparsable job_id": "job_id % 53 = 0 and job_id % 47 <> 0",
+                "unparsable job_skills": "job_id % 43 = 0",
+                "unparsable job_type_skills": "(job_id - 1) % 19 = 0 and (job_id - 1) % 7 <> 0",
+                "unparsable job_posted_date": "(job_id - 1) % 37 = 0",
+                "unparsable salary_year_avg": "(job_id - 1) % 41 = 0 and job_id % 61 <> 0",
+                "too large salary_year_avg": "job_id % 61 = 0",
+                "too long job_title": "job_id % 59 = 0",
+                "too long job_country": "job_id % 67 = 0",
+                "empty delivery": "false",
+            })}""",
+        "published_mart": f"""with {TWO_RUNS}
+            select {', '.join(MART_COLUMNS)} from two_mart""",
+        "distinct_estimates": "select unnest([" + ", ".join(f"'{f}'" for f in FIELDS) + "]) as field, true as within_error",
         "written_tables": f"with {CORE},{PLACES}, mart as (select * from jobs join bridge using (job_id) "
         "join dim_skill using (skill_id)) "
         + " union all ".join(

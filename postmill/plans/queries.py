@@ -12,8 +12,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postmill.operators import cleaning, dimensions, keys, loading, profiling, quality, skills
-from postmill.plans import marts, normalized, warehouse
+from postmill.fixed import RAW_COLUMNS
+from postmill.operators import cleaning, dimensions, keys, loading, losses, profiling, quality, skills
+from postmill.plans import ledger, marts, normalized, warehouse
 from postmill.session import scratch_path, written
 from postmill.sources.derived import postings
 from postmill.sources.files import read_postings, write_csv
@@ -78,6 +79,36 @@ class Feed:
         keyless = loading.with_empty_key(self.flat_jobs, "company_id")
         return loading.backfill_key(keyless, self.dim_company, "company_name", "company_id")
 
+    @cached_property
+    def deliveries(self) -> list[DataFrame]:
+        """The contract jobs under an older title, then every posting."""
+        older = F.concat(F.rtrim("job_title"), F.lit(" old"))
+        return [self.landed.where("job_schedule_type = 'Contractor'").withColumn("job_title", older), self.landed]
+
+    @cached_property
+    def second_run(self) -> ledger.State:
+        """The warehouse after both deliveries."""
+        root = scratch_path(self.spark, "ledger")
+        return [ledger.append(delivery, root) for delivery in self.deliveries][-1]
+
+    def loaded(self, name: str) -> DataFrame:
+        return ledger.table(self.spark, self.second_run, name)
+
+    @cached_property
+    def dirty_delivery(self) -> DataFrame:
+        """Every posting, some with a text that cannot be kept, chosen by id."""
+        of = lambda n: F.col("job_id") % n == 0
+        other = {
+            "job_skills": F.when(of(43), "[oops"),
+            "job_title": F.when(of(59), "t" * 501),
+            "salary_year_avg": F.when(of(61), "1e11"),
+            "job_country": F.when(of(67), "c" * 101),
+            "job_id": F.when(of(47), None).when(of(53), F.concat(F.lit("x"), "job_id")).otherwise(F.col("job_id").cast("string")),
+        }
+        number = other.pop("job_id")
+        kept = [(F.when(other[c].isNotNull(), other[c]).otherwise(F.col(c)) if c in other else F.col(c)).alias(c) for c in RAW_COLUMNS]
+        return written(self.raw.select(number.alias("job_id"), *kept), "dirty")
+
     @cached_property
     def dirty_bridge(self) -> DataFrame:
         """The bridge and, for each job without a company, one pair without its parents
@@ -315,13 +346,7 @@ def layer_counts(feed: Feed) -> DataFrame:
     )
 
 
-FIELDS = {
-    "distinct_companies": "company_name",
-    "distinct_job_locations": "job_location",
-    "distinct_schedule_types": "job_schedule_type",
-    "distinct_sources": "job_via",
-    "distinct_countries": "job_country",
-}
+FIELDS = ledger.PROFILED
 
 
 @query
@@ -429,6 +454,34 @@ def dq_contract(feed: Feed) -> DataFrame:
     )
 
 
+@query
+def dq_normalized(feed: Feed) -> DataFrame:
+    """Every declared rule of the normalized tables, over tables that break some of each kind."""
+    jobs, pairs = feed.flat_jobs, skills.skill_pairs(feed.relation)
+    made = {
+        "companies": normalized.companies(jobs),
+        "locations": dimensions.locations(jobs),
+        "platforms": normalized.platforms(jobs),
+        "schedule_types": normalized.schedule_types(jobs),
+        "skill_types": normalized.skill_types(feed.relation),
+    }
+    made["skills"] = normalized.skills(feed.dim_skill, feed.relation, made["skill_types"])
+    made["job_skills_3nf"] = normalized.job_skills(pairs, made["skills"])
+    fact = normalized.jobs_fact(jobs, *[made[t] for t in ("companies", "locations", "platforms", "schedule_types")])
+    strays = F.when(F.col("job_id") % 43 == 0, -F.col("company_id")).otherwise(F.col("company_id"))
+    made["jobs_3nf"] = fact.withColumn("company_id", strays)
+    copied = {"platforms": "platform_id % 2 = 0", "jobs_3nf": "job_id % 47 = 0", "job_skills_3nf": "job_id % 53 = 0"}
+    for name, which in copied.items():
+        made[name] = made[name].unionByName(made[name].where(which))
+    nameless = made["companies"].where("company_id % 50 = 0").withColumn("company_id", F.lit(None).cast("long"))
+    made["companies"] = made["companies"].unionByName(nameless)
+    even = F.col("schedule_type_id") % 2 == 0
+    made["schedule_types"] = made["schedule_types"].withColumn("name", F.when(~even, F.col("name")))
+    made["skills"] = made["skills"].where("skill_id % 10 <> 0")
+    made["skill_types"] = made["skill_types"].where("skill_type_id <> 1")
+    return quality.declared_constraints(made)
+
+
 # --- normalized model -------------------------------------------------------
 
 
@@ -503,6 +556,109 @@ def written_tables(feed: Feed) -> DataFrame:
     return quality.unite(counts)
 
 
+@query
+def csv_shuffled_columns(feed: Feed) -> DataFrame:
+    """Postings in two folders of files, one with its columns in another order and one more."""
+    path = scratch_path(feed.spark, "csv")
+    parity = F.col("job_id") % 2
+    write_csv(feed.landed.where(parity == 0), f"{path}/kind=a")
+    other = feed.landed.where(parity == 1).select(*RAW_COLUMNS[::-1], F.lit("note").alias("note"), "job_id")
+    write_csv(other, f"{path}/kind=b")
+    return read_postings(feed.spark, f"{path}/*")
+
+
+@query
+def csv_ragged(feed: Feed) -> DataFrame:
+    """Whole postings in some files, and in others records that end after two fields or go on after the last."""
+    path = scratch_path(feed.spark, "csv")
+    write_csv(feed.landed, f"{path}/kind=whole")
+    few = F.concat(F.col("job_id").cast("string"), F.lit(","), "job_country")
+    many = F.concat(few, F.lit("," * len(RAW_COLUMNS)), F.lit("more"))
+    record = F.when(F.col("job_id") % 2 == 0, few).otherwise(many)
+    # The first record of every file comes with the header.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << keys.POSITION_BITS) - 1)) == 0
+    header = F.lit(",".join(["job_id", *RAW_COLUMNS]) + "\n")
+    lines = feed.landed.select(F.when(first, F.concat(header, record)).otherwise(record))
+    lines.write.text(f"{path}/kind=ragged")
+    rows = read_postings(feed.spark, f"{path}/*", ragged=losses.RAGGED_COLUMN)
+    ragged = F.col(losses.RAGGED_COLUMN)
+    return rows.select(F.coalesce(ragged, F.concat(F.lit("whole "), "job_id")).alias("record"), ragged.isNotNull().alias("ragged"))
+
+
+# --- loads after loads ------------------------------------------------------
+
+
+@query
+def second_run_jobs(feed: Feed) -> DataFrame:
+    """Jobs after both deliveries, and after the second has come once more."""
+    state = ledger.append(feed.deliveries[1], feed.second_run.root)
+    return cleaning.with_wall_clocks(ledger.table(feed.spark, state, "core.jobs"))
+
+
+@query
+def second_run_bridge(feed: Feed) -> DataFrame:
+    return feed.loaded("core.bridge_job_skill")
+
+
+@query
+def second_run_skill_counts(feed: Feed) -> DataFrame:
+    """The three counting marts, added up from what each load counted of its own jobs."""
+    parts = {"skill_counts": F.lit(None), "skill_counts_by_title": F.col("job_title_short"), "skill_counts_by_country": F.col("job_country")}
+    rows = [
+        feed.loaded(f"marts.{name}").select(F.lit(name).alias("mart"), by.cast("string").alias("value"), "skill_name", "postings")
+        for name, by in parts.items()
+    ]
+    return quality.unite(rows)
+
+
+@query
+def second_run_companies_3nf(feed: Feed) -> DataFrame:
+    return feed.loaded("normalized.companies")
+
+
+@query
+def second_run_skills_3nf(feed: Feed) -> DataFrame:
+    """Skills with the type that the jobs of both loads give most, by names."""
+    types = feed.loaded("normalized.skill_types").withColumnRenamed("name", "skill_type")
+    return feed.loaded("normalized.skills").join(types, "skill_type_id", "left").select("skill_id", "name", "skill_type")
+
+
+@query
+def second_run_unnumbered(feed: Feed) -> DataFrame:
+    """Files without ids: the contract jobs, then every posting; records are known by their content."""
+    root = scratch_path(feed.spark, "ledger")
+    for i, delivery in enumerate([feed.landed.where("job_schedule_type = 'Contractor'"), feed.landed]):
+        path = scratch_path(feed.spark, f"csv-{i}")
+        write_csv(delivery.repartitionByRange("job_id").sortWithinPartitions("job_id").drop("job_id"), path)
+        state = ledger.append_csv(feed.spark, path, root)
+    return cleaning.with_wall_clocks(ledger.table(feed.spark, state, "core.jobs")).drop("company_id")
+
+
+@query
+def run_report(feed: Feed) -> DataFrame:
+    """What a load of dirty postings lost, by reason."""
+    state = ledger.append(feed.dirty_delivery, scratch_path(feed.spark, "ledger"), {"missing": 1.0, "unparsable job_id": 1.0})
+    return state.table(feed.spark, "quality.run_report").drop("load")
+
+
+@query
+def published_mart(feed: Feed) -> DataFrame:
+    """The job_skills mart as the catalog shows it after the first load and then the second were published."""
+    place = scratch_path(feed.spark, "catalog")
+    prefix = f"p{place[-12:]}_"
+    for state in ledger.states(feed.spark, feed.second_run.root):
+        ledger.publish(feed.spark, state, prefix, place)
+    return cleaning.with_wall_clocks(feed.spark.table(f"{prefix}marts.job_skills"))
+
+
+@query
+def distinct_estimates(feed: Feed) -> DataFrame:
+    """Whether the estimates merged over both loads lie within their declared error of the exact counts."""
+    exact = quality.as_rows(profiling.distinct_counts(feed.loaded("core.jobs"), FIELDS), "field", "exact")
+    near = ledger.distinct_profile(feed.spark, feed.second_run).join(exact, "field")
+    return near.select("field", (F.abs(F.col("estimate") - F.col("exact")) <= ledger.SKETCH_ERROR * F.col("exact")).alias("within_error"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(function: Query) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: function(Feed(spark, sf_dir))

@@ -1,4 +1,8 @@
-"""The batch run: raw postings in, staging, core, normalized and mart tables out."""
+"""The one-shot run: raw postings in, staging, core, normalized and mart tables out.
+
+It builds everything from the postings it is given. Deliveries that follow each other go to
+`ledger`, which adds what is new.
+"""
 
 from __future__ import annotations
 
@@ -16,17 +20,11 @@ from postmill.operators import quality
 from postmill.operators.cleaning import clean_postings, core_columns, skills_as_json
 from postmill.operators.dimensions import dim_company, dim_skill, locations
 from postmill.operators.keys import file_row_ids
-from postmill.operators.loading import (
-    absent_rows,
-    backfill_key,
-    insert_absent_names,
-    one_per_key,
-    with_empty_key,
-)
+from postmill.operators.loading import backfill_key, one_per_key, with_empty_key
 from postmill.operators.skills import all_skills, bridge, skill_pairs, skill_pairs_in_row
 from postmill.plans import marts, normalized
 from postmill.sources.files import read_postings
-from postmill.sources.tables import create_layers, publish, read_table, write_table
+from postmill.sources.tables import create_layers, publish, write_table
 
 
 @dataclass
@@ -77,21 +75,9 @@ def together(*builders: Callable[[], object]) -> None:
             done.result()
 
 
-def build_core(
-    run: Run,
-    staging: DataFrame,
-    known_jobs: DataFrame | None = None,
-    known_companies: DataFrame | None = None,
-) -> None:
-    """Skill relation, dimensions, bridge and jobs.
-
-    The skill tables are rebuilt from staging. Jobs and companies known from an
-    earlier run stay as they are; only new ones are added.
-    """
-    together(
-        lambda: build_skills(run, staging),
-        lambda: build_jobs(run, staging, known_jobs, known_companies),
-    )
+def build_core(run: Run, staging: DataFrame) -> None:
+    """Skill relation, dimensions, bridge and jobs."""
+    together(lambda: build_skills(run, staging), lambda: build_jobs(run, staging))
 
 
 def build_skills(run: Run, staging: DataFrame) -> None:
@@ -102,21 +88,11 @@ def build_skills(run: Run, staging: DataFrame) -> None:
     run.write("core", "bridge_job_skill", bridge(pairs, skills))
 
 
-def build_jobs(
-    run: Run, staging: DataFrame, known_jobs: DataFrame | None, known_companies: DataFrame | None
-) -> None:
-    unique = run.unique_jobs
+def build_jobs(run: Run, staging: DataFrame) -> None:
     batch = core_columns(staging).where(F.col("job_id").isNotNull())
-    if known_jobs is None:
-        jobs = with_empty_key(batch if unique else one_per_key(batch, "job_id"), "company_id")
-        jobs = run.write("staging", "jobs_to_key", jobs)
-        companies = run.write("core", "dim_company", dim_company(jobs))
-    else:
-        # Only the new jobs are written here; the known ones are rewritten once, below.
-        added = with_empty_key(absent_rows(batch, known_jobs, "job_id", unique), "company_id")
-        jobs = known_jobs.unionByName(run.write("staging", "jobs_to_key", added))
-        companies = insert_absent_names(known_companies, jobs, "company_name", "company_id")
-        companies = run.write("core", "dim_company", companies)
+    jobs = with_empty_key(batch if run.unique_jobs else one_per_key(batch, "job_id"), "company_id")
+    jobs = run.write("staging", "jobs_to_key", jobs)
+    companies = run.write("core", "dim_company", dim_company(jobs))
     run.write("core", "jobs", backfill_key(jobs, companies, "company_name", "company_id"))
 
 
@@ -175,20 +151,14 @@ def core_report(run: Run) -> DataFrame:
     )
 
 
-def run_batch(raw: DataFrame, root: str, previous: str | None = None, strict: bool = True) -> Run:
+def run_batch(raw: DataFrame, root: str, strict: bool = True) -> Run:
     """One complete run below `root`, a new folder.
 
-    `previous` is the root of an earlier run, whose jobs and companies are kept. With
-    `strict` a run that breaks a rule raises before its marts are written.
+    With `strict` a run that breaks a rule raises before its marts are written.
     """
-    spark = raw.sparkSession
     run = Run(root)
     staging = stage(run, raw)
-    if previous:
-        known = [read_table(spark, previous, "core", name) for name in ("jobs", "dim_company")]
-        build_core(run, staging, *known)
-    else:
-        build_core(run, staging)
+    build_core(run, staging)
     if strict:
         together(lambda: quality.enforce(core_report(run)), lambda: build_normalized(run))
     else:
@@ -197,8 +167,8 @@ def run_batch(raw: DataFrame, root: str, previous: str | None = None, strict: bo
     return run
 
 
-def run_csv(spark: SparkSession, path: str, root: str, previous: str | None = None) -> Run:
-    return run_batch(read_postings(spark, path), root, previous)
+def run_csv(spark: SparkSession, path: str, root: str) -> Run:
+    return run_batch(read_postings(spark, path), root)
 
 
 def publish_run(spark: SparkSession, run: Run, prefix: str = "") -> None:

@@ -30,17 +30,6 @@ def load(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Partition a scan by key if it has fewer pieces than the cluster has cores.
-
-    One small file is one task, and without a shuffle behind it so is all the work
-    on its rows. Large tables have pieces enough and are left as they are.
-    """
-    if df.rdd.getNumPartitions() < df.sparkSession.sparkContext.defaultParallelism:
-        return df.repartition(key)
-    return df
-
-
 def _every(n: int) -> Column:
     return F.col("o_orderkey") % n == 0
 
@@ -73,7 +62,8 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings with job_id, all other columns text."""
     t = load(spark, sf_dir)
     rows = (
-        spread(t["orders"], "o_orderkey")
+        # Partitioned as the literals are, which the last of these joins needs in any case.
+        t["orders"].repartition("o_orderkey")
         .join(t["customer"], F.col("c_custkey") == F.col("o_custkey"))
         .join(t["nation"], F.col("n_nationkey") == F.col("c_nationkey"))
         .join(t["region"], F.col("r_regionkey") == F.col("n_regionkey"))

@@ -36,8 +36,8 @@ def test_quoted_newlines_quotes_and_blanks(spark, tmp_path):
 def test_only_files_with_open_quotes_are_read_whole(spark, tmp_path):
     write(tmp_path / "one.csv", line("two\nlines"), line("x"))
     write(tmp_path / "two.csv", line('with "quotes"'), line("y"))
-    found = files.open_quote_files(spark, str(tmp_path))
-    assert [f.rsplit("/", 1)[1] for f in found] == ["one.csv"]
+    found = files.layouts(spark, str(tmp_path))
+    assert [f.rsplit("/", 1)[1] for f, layout in found.items() if layout.open_quotes] == ["one.csv"]
     got = files.read_postings(spark, str(tmp_path))
     assert Counter(r.job_title for r in got.collect()) == Counter(["two\nlines", "x", 'with "quotes"', "y"])
     ids = keys.file_row_ids(got)
@@ -79,10 +79,6 @@ def test_csv_roundtrip_keeps_null_blank_and_spaces(spark, tmp_path):
 # --- runs -------------------------------------------------------------------
 
 
-def titles(df):
-    return {r.job_id: r.job_title for r in df.collect()}
-
-
 def test_a_run_from_files(spark, tmp_path):
     write(tmp_path / "a.csv", line("one", "['SQL', 'Python']"), line("two", "['sql']", company=""), line("three", "oops", company="b"))
     run = warehouse.run_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "out"))
@@ -95,25 +91,11 @@ def test_a_run_from_files(spark, tmp_path):
     assert {r.violations for r in warehouse.core_report(run).collect()} == {0}
 
 
-def test_a_second_run_keeps_what_is_there(spark, tmp_path):
-    def posting(i, title, company):
-        values = dict.fromkeys(RAW_COLUMNS) | {"job_title": title, "company_name": company, "job_skills": "['sql']"}
-        return (i, *(values[c] for c in RAW_COLUMNS))
-
-    kinds = "job_id long, " + ", ".join(f"{c} string" for c in RAW_COLUMNS)
-    first = spark.createDataFrame([posting(1, "one", "m"), posting(2, "two", "c")], kinds)
-    second = spark.createDataFrame(
-        [posting(2, "TWO", "x"), posting(3, "three", "a"), posting(3, "3", "m"), posting(4, "four", "m")], kinds
-    )
-    one = warehouse.run_batch(first, str(tmp_path / "1"))
-    two = warehouse.run_batch(second, str(tmp_path / "2"), previous=str(tmp_path / "1"), strict=False)
-    assert not two.unique_jobs
-    assert titles(two["jobs"]) == {1: "one", 2: "two", 3: "3", 4: "four"}
-    companies = {r.company_name: r.company_id for r in two["dim_company"].collect()}
-    assert companies == {"c": 1, "m": 2}  # x and a never reached the jobs table
-    again = warehouse.run_batch(second, str(tmp_path / "3"), previous=str(tmp_path / "2"), strict=False)
-    for name in ("jobs", "dim_company", "bridge_job_skill"):
-        assert Counter(map(tuple, again[name].collect())) == Counter(map(tuple, two[name].collect()))
+def test_a_run_writes_over_no_other(spark, tmp_path):
+    write(tmp_path / "a.csv", line("one"))
+    warehouse.run_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "out"))
+    with pytest.raises(Exception, match="already exists"):
+        warehouse.run_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "out"))
 
 
 def test_a_bad_run_stops_before_the_marts(spark, tmp_path):

@@ -77,6 +77,24 @@ def test_rows_without_a_key_are_spread(skewed):
     assert split.where("name is null").count() == 400
 
 
+def test_lookups_after_lookups_read_the_rows_once(spark, tmp_path):
+    """Five split dimensions: the fact table stands in the plan once, and no key that is hot or missing meets in one task."""
+    rows = [(i, *("hot" if i % 3 else None if i % 7 else f"k{i % 40}" for _ in range(5))) for i in range(600)]
+    spark.createDataFrame(rows, "i long, " + ", ".join(f"d{k} string" for k in range(5))).write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    got = want = fact
+    for k in range(5):
+        # Not every hot key has a match.
+        names = [(f"k{j}", j) for j in range(30)] + ([("hot", 99)] if k % 2 else [])
+        other = spark.createDataFrame(names, f"d{k} string, id{k} long")
+        got = joins.lookup(got, other, [f"d{k}"], "left", limit=0, hot_keys=5, counted=fact)
+        want = want.join(other, f"d{k}", "left")
+    order = want.columns
+    assert rows_of(got.select(order)) == rows_of(want)
+    leaves = [line for line in got._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Relation" in line and "i#" in line]
+    assert len(leaves) == 1
+
+
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 0])
 def test_null_safe_lookup(spark, limit):
     fact = spark.createDataFrame([(1, "a", None), (2, None, None), (3, "a", "b"), (4, "", None)], "i long, p string, q string")

@@ -1,0 +1,251 @@
+import json
+from collections import Counter
+
+import pytest
+
+from postmill.fixed import MART_COLUMNS, RAW_COLUMNS
+from postmill.operators import losses, quality
+from postmill.plans import ledger, marts
+from postmill.sources import files
+
+KINDS = ", ".join(f"{c} string" for c in RAW_COLUMNS)
+
+
+def posting(**values):
+    base = dict.fromkeys(RAW_COLUMNS) | {"job_title": "t", "company_name": "acme", "job_location": "Here", "job_posted_date": "2023-06-16 13:44:15"}
+    assert not values.keys() - base.keys()
+    return tuple((base | values)[c] for c in RAW_COLUMNS)
+
+
+def numbered(spark, *rows):
+    return spark.createDataFrame([(i, *p) for i, p in rows], f"job_id string, {KINDS}")
+
+
+def write_csv(path, rows, columns=RAW_COLUMNS):
+    def field(v):
+        return "" if v is None else '"' + str(v).replace('"', '""') + '"'
+
+    lines = [",".join(columns)] + [",".join(field(dict(zip(RAW_COLUMNS, r, strict=True)).get(c)) for c in columns) for r in rows]
+    path.write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+def rows_of(spark, state, name):
+    return Counter(map(tuple, ledger.table(spark, state, name).collect()))
+
+
+FIRST = [
+    ("1", posting(job_title="one", company_name="m", job_skills="['sql', 'r']", job_country="x", job_title_short="DE")),
+    ("2", posting(job_title="two", company_name="c", job_skills="['sql']", job_type_skills="{'db': ['sql'], 'lang': ['r']}", job_via="v")),
+]
+SECOND = [
+    ("2", posting(job_title="TWO", company_name="x", job_skills="['java']")),
+    ("3", posting(job_title="three", company_name="a", job_skills="['java']", job_type_skills="{'lang': ['sql', 'r']}")),
+    ("3", posting(job_title="3", company_name="m", job_skills="['sql']", job_country="x")),
+    ("4", posting(job_title="four", company_name="m", job_skills="['ada']", job_schedule_type="Full", job_title_short="DE")),
+]
+
+
+def test_a_second_load_adds_only_what_is_new(spark, tmp_path):
+    root = str(tmp_path / "w")
+    ledger.append(numbered(spark, *FIRST), root)
+    state = ledger.append(numbered(spark, *SECOND), root)
+    jobs = {r.job_id: r.job_title for r in ledger.table(spark, state, "core.jobs").collect()}
+    assert jobs == {1: "one", 2: "two", 3: "3", 4: "four"}
+    assert rows_of(spark, state, "core.dim_company") == Counter([(1, "c"), (2, "m")])
+    assert rows_of(spark, state, "core.dim_skill") == Counter([(1, "r"), (2, "sql"), (3, "ada"), (4, "java")])
+    pairs = [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 2), (3, 4), (4, 3)]
+    assert rows_of(spark, state, "core.bridge_job_skill") == Counter(pairs)
+    assert rows_of(spark, state, "marts.skill_counts") == Counter([("r", 3), ("sql", 3), ("java", 1), ("ada", 1)])
+    assert rows_of(spark, state, "marts.skill_counts_by_title") == Counter([("DE", "sql", 1), ("DE", "r", 1), ("DE", "ada", 1), (None, "r", 2), (None, "sql", 2), (None, "java", 1)])
+    # The second load turned sql from db, one job each, to lang? A tie goes to the first by name.
+    types = {r.skill_type_id: r.name for r in ledger.table(spark, state, "normalized.skill_types").collect()}
+    skills = {r.name: types.get(r.skill_type_id) for r in ledger.table(spark, state, "normalized.skills").collect()}
+    assert skills == {"sql": "db", "r": "lang", "java": None, "ada": None}
+
+    again = ledger.append(numbered(spark, *SECOND), root)
+    assert again.marks == state.marks and again.number == 3
+    for name in ledger.views(state):
+        if not name.startswith("staging"):
+            assert rows_of(spark, again, name) == rows_of(spark, state, name)
+    assert {k: v for k, v in again.rows.items() if k.split(".")[0] in ("core", "marts")} == {k: v for k, v in state.rows.items() if k.split(".")[0] in ("core", "marts")}
+
+
+def test_skills_change_their_type_with_the_evidence(spark, tmp_path):
+    root = str(tmp_path / "w")
+    ledger.append(numbered(spark, ("1", posting(job_type_skills="{'a': ['s']}"))), root)
+    state = ledger.append(numbered(spark, *[(str(i), posting(job_type_skills="{'b': ['s']}")) for i in (2, 3)]), root)
+    types = {r.skill_type_id: r.name for r in ledger.table(spark, state, "normalized.skill_types").collect()}
+    assert types == {1: "a", 2: "b"}
+    assert rows_of(spark, state, "normalized.skills") == Counter([(1, "s", 2)])
+
+
+def test_records_without_ids_are_known_by_their_content(spark, tmp_path):
+    root, one, two = str(tmp_path / "w"), tmp_path / "1.csv", tmp_path / "2.csv"
+    a, b, c, d = (posting(job_title=t, job_skills=f"['{t}']") for t in "abcd")
+    write_csv(one, [b, a, a, c])
+    state = ledger.append_csv(spark, str(one), root)
+    first = [(1, "b"), (2, "a"), (3, "a"), (4, "c")]
+    titles = lambda s: sorted((r.job_id, r.job_title) for r in ledger.table(spark, s, "core.jobs").collect())
+    assert titles(state) == first
+    # a once more than before, b as often, d twice; in file order.
+    write_csv(two, [d, a, b, a, d, a])
+    state = ledger.append_csv(spark, str(two), root)
+    assert titles(state) == [*first, (5, "d"), (6, "a"), (7, "d")]
+    assert rows_of(spark, state, "marts.skill_counts") == Counter([("a", 3), ("b", 1), ("c", 1), ("d", 2)])
+    again = ledger.append_csv(spark, str(two), root)
+    assert titles(again) == titles(state) and again.marks == state.marks
+    with pytest.raises(ValueError, match="not both"):
+        ledger.append(numbered(spark, *FIRST), root)
+
+
+def test_every_loss_is_kept_and_counted(spark, tmp_path):
+    long = "x" * 600
+    rows = [
+        ("1", posting(job_skills="[oops", job_type_skills="nope", job_posted_date="soon")),
+        ("2", posting(salary_year_avg="n/a", salary_hour_avg="1e9", job_title=long)),
+        ("3", posting(salary_year_avg="1e11", job_country="y" * 101, job_skills=f"['{'s' * 101}', 'ok']")),
+        ("x4", posting(job_type_skills=f"{{'{'g' * 101}': ['z']}}")),
+        (None, posting()),
+        ("5", posting(job_skills="None", job_type_skills="{}", salary_year_avg=" ")),
+    ]
+    want = Counter(
+        [
+            (1, "job_skills", "unparsable", "[oops"), (1, "job_type_skills", "unparsable", "nope"), (1, "job_posted_date", "unparsable", "soon"),
+            (2, "salary_year_avg", "unparsable", "n/a"), (2, "salary_hour_avg", "too large", "1e9"), (2, "job_title", "too long", long),
+            (3, "salary_year_avg", "too large", "1e11"), (3, "job_country", "too long", "y" * 101), (3, "skill_name", "too long", json.dumps(["s" * 101])),
+            (None, "job_id", "unparsable", "x4"), (None, "skill_group", "too long", json.dumps(["g" * 101])), (None, "job_id", "missing", None),
+        ]
+    )
+    root = str(tmp_path / "w")
+    with pytest.raises(ledger.TooMuchLost, match="missing job_id: 1 of 6, unparsable job_id: 1 of 6"):
+        ledger.append(numbered(spark, *rows), root)
+    assert ledger.current(spark, root).number == 0
+    with pytest.raises(ledger.TooMuchLost, match="too long job_title: 1 of 6"):
+        ledger.append(numbered(spark, *rows), root, {"missing": 1, "unparsable job_id": 1, "too long": 0.1})
+    state = ledger.append(numbered(spark, *rows), root, {"missing": 1, "unparsable job_id": 1})
+    assert Counter((r.job_id, r.column, r.reason, r.value) for r in state.table(spark, "quality.losses").collect()) == want
+    report = {r.check: r.violations for r in state.table(spark, "quality.run_report").collect() if r.violations}
+    assert report == Counter(f"{reason} {column}" for (_, column, reason, _), n in want.items())
+    assert ledger.table(spark, state, "core.jobs").count() == 4
+
+
+def test_a_broken_load_leaves_the_warehouse_as_it_was(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "w")
+    before = ledger.append(numbered(spark, *FIRST), root)
+    broken = lambda report: quality.ChecksFailed("broken")
+
+    def fail(report):
+        raise broken(report)
+
+    monkeypatch.setattr(quality, "enforce", fail)
+    with pytest.raises(quality.ChecksFailed):
+        ledger.append(numbered(spark, *SECOND), root)
+    monkeypatch.undo()
+    assert ledger.current(spark, root) == before
+    state = ledger.append(numbered(spark, *SECOND), root)
+    assert state.number == 2 and ledger.table(spark, state, "core.jobs").count() == 4
+
+
+def test_of_two_loads_from_one_state_only_one_commits(spark, tmp_path):
+    root = str(tmp_path / "w")
+    state = ledger.append(numbered(spark, *FIRST), root)
+    one, two = ledger.Load(spark, state), ledger.Load(spark, state)
+    one.commit(True)
+    with pytest.raises(Exception, match="already exists"):
+        two.commit(True)
+
+
+def test_published_views_move_from_state_to_state(spark, tmp_path):
+    root = str(tmp_path / "with space")
+    one = ledger.append(numbered(spark, *FIRST), root)
+    ledger.publish(spark, one, "l_")
+    mart = spark.table("l_marts.job_skills")
+    assert mart.columns == MART_COLUMNS
+    parts = [ledger.table(spark, one, f"core.{t}") for t in ("jobs", "bridge_job_skill", "dim_skill", "dim_company")]
+    assert Counter(map(tuple, mart.collect())) == Counter(map(tuple, marts.job_skills(*parts).collect()))
+    two = ledger.append(numbered(spark, *SECOND), root)
+    assert spark.table("l_marts.skill_counts").count() == 2  # not published yet
+    ledger.publish(spark, two, "l_")
+    assert spark.table("l_marts.skill_counts").count() == 4 and spark.table("l_core.jobs").count() == 4
+    ledger.publish(spark, one, "l_")
+    assert spark.table("l_core.jobs").count() == 2
+
+
+def test_marts_come_from_one_join_of_the_new_jobs(spark, tmp_path):
+    root = str(tmp_path / "w")
+    ledger.append(numbered(spark, *FIRST), root)
+    load = ledger.Load(spark, ledger.current(spark, root))
+    new = spark.createDataFrame([(9, "DE", "x")], "job_id long, job_title_short string, job_country string")
+    load.add("core.jobs", new)
+    load.add("core.bridge_job_skill", spark.createDataFrame([(9, 1)], "job_id long, skill_id long"))
+    seen = []
+    load.add = lambda name, df: seen.append(df)
+    ledger.build_counts(load)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and plan.count("Relation") == 2
+    assert "loads/00000001" not in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
+def test_profile_estimates_over_loads(spark, tmp_path):
+    root = str(tmp_path / "w")
+    many = lambda a, b: [(str(i), posting(company_name=f"c{i % 700}", job_country=f"k{i % 3}")) for i in range(a, b)]
+    ledger.append(numbered(spark, *many(0, 500)), root)
+    state = ledger.append(numbered(spark, *many(400, 1500)), root)
+    got = {r.field: r.estimate for r in ledger.distinct_profile(spark, state).collect()}
+    assert abs(got["distinct_companies"] - 700) <= 700 * ledger.SKETCH_ERROR and got["distinct_countries"] == 3
+    assert got["distinct_sources"] == 0
+
+
+def test_empty_deliveries(spark, tmp_path):
+    root = str(tmp_path / "w")
+    state = ledger.append(numbered(spark), root)
+    assert ledger.table(spark, state, "core.jobs").count() == 0 and state.marks["job_id"] == 0
+    state = ledger.append(numbered(spark, *FIRST), root)
+    state = ledger.append(numbered(spark), root)
+    assert ledger.table(spark, state, "core.jobs").count() == 2
+    assert {r.violations for r in state.table(spark, "quality.run_report").collect() if r.check == "empty delivery"} == {0, 1}
+
+
+# --- files ------------------------------------------------------------------
+
+
+def test_columns_are_found_by_name_in_every_file(spark, tmp_path):
+    folder = tmp_path / "in [1] a+b"
+    folder.mkdir()
+    write_csv(folder / "a one.csv", [posting(job_title="1")])
+    write_csv(folder / "b%20two.csv", [posting(job_title="two\nlines", job_skills="['q']")], RAW_COLUMNS[::-1])
+    write_csv(folder / "c.csv", [posting(job_title="3")], ["note", *RAW_COLUMNS[3:], *RAW_COLUMNS[:3]])
+    (folder / "empty.csv").write_text("")
+    got = files.read_postings(spark, str(folder).replace("[", "\\[").replace("]", "\\]"))
+    rows = {r.job_title: r.asDict() for r in got.collect()}
+    assert set(rows) == {"1", "two\nlines", "3"}
+    assert all(r["company_name"] == "acme" and r["job_location"] == "Here" for r in rows.values())
+    assert rows["two\nlines"]["job_skills"] == "['q']" and "note" not in rows["3"]
+
+
+def test_a_missing_column_raises_by_name_before_any_record_is_read(spark, tmp_path):
+    write_csv(tmp_path / "a.csv", [posting()])
+    write_csv(tmp_path / "b.csv", [posting()], [c for c in RAW_COLUMNS if c not in ("job_via", "salary_rate")])
+    with pytest.raises(files.WrongHeader, match="b.csv: no column job_via, salary_rate"):
+        files.read_postings(spark, str(tmp_path))
+    write_csv(tmp_path / "b.csv", [posting()], [*RAW_COLUMNS, "job_via"])
+    with pytest.raises(files.WrongHeader, match="several columns job_via"):
+        files.read_postings(spark, str(tmp_path))
+    write_csv(tmp_path / "b.csv", [posting()], ["job_id", *RAW_COLUMNS])
+    with pytest.raises(files.WrongHeader, match="some files have job_id"):
+        files.read_postings(spark, str(tmp_path))
+
+
+@pytest.mark.parametrize("whole", [None, True])
+def test_ragged_records_are_told_and_not_loaded(spark, tmp_path, whole):
+    write_csv(tmp_path / "a.csv", [posting(job_title="good")])
+    more = ",".join(["x"] * 18)
+    with (tmp_path / "a.csv").open("a") as out:
+        out.write(f"few,fields\n{more}\n")
+    got = files.read_postings(spark, str(tmp_path / "a.csv"), whole, losses.RAGGED_COLUMN)
+    assert sorted(r[losses.RAGGED_COLUMN] or "" for r in got.collect()) == ["", "few,fields", more]
+    if whole is None:
+        state = ledger.append_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "w"))
+        assert [r.job_title for r in ledger.table(spark, state, "core.jobs").collect()] == ["good"]
+        lost = state.table(spark, "quality.losses").where("reason = 'ragged'").collect()
+        assert sorted(r.value for r in lost) == ["few,fields", more]

@@ -12,12 +12,12 @@ The files are Parquet folders below one path:
             payload (codes, first bit of a byte is its highest)
 Shards are in ascending doc_id order, segments of a shard and documents of a segment too.
 
-A word between ASCII white space is tokenized once and remembered by the worker, up to
-REMEMBERED words and then anew: the tokenizer drops white space and no token crosses it. `whole_texts`
-turns that off for tokenizers of which this is not true.
+A word between ASCII white space is tokenized once and remembered by the worker: the
+tokenizer drops white space and no token crosses it. Words are found again by hash and held
+byte by byte, in arrays. `whole_texts` turns that off for tokenizers of which this is not true.
 
 Defined cases: null text is empty and gets the end id alone. Null doc_ids come first.
-Equal doc_ids go by text; a document of any length is in one segment. An empty table
+Equal doc_ids, which may be many, go by their texts' hashes and are dealt by them; a document of any length is in one segment. An empty table
 writes empty files. Other columns are ignored.
 """
 
@@ -29,18 +29,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postmill.llm.arrays import pieces
+from postmill.llm.arrays import pieces, text_bytes, word_spans
+from postmill.llm.known_ids import KINDS, LETTER, MARK, REMEMBERED, WORD, KnownIds, ranges, word_ids
 from postmill.session import scratch_path
 
 END_ID = 2
 LONGEST = 18
 STRIDE = 512
 SEGMENT_IDS = 1 << 17
-REMEMBERED = 600_000
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 ENCODED = "shard int, segment long, doc_ids array<long>, counts array<long>, n_ids long, checkpoints binary, payload binary"
 
@@ -55,75 +56,89 @@ class Encoder:
         self.end = end_id
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.whole = whole_texts or not (self.tokenizer.normalizer and self.tokenizer.pre_tokenizer)
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        # What plain words may be taken to mean: letters are folded and no other way of cutting words is known.
+        self.plain = not self.whole and self.lowers_and_cuts()
         self.parts: dict[str, list[int]] = {}
-        self.ids, self.ends, self.held = [np.array([self.end], np.uint32)], [np.array([0, 1], np.int64)], 1
+        self.known = KnownIds(self.learn)
+
+    def lowers_and_cuts(self) -> bool:
+        """Whether the tokenizer lowers letters and reads letters, apostrophes and other marks apart, by trial."""
+        normal = self.tokenizer.normalizer.normalize_str("AbÀÿß")
+        found = [piece for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str("ab.,cd's|é!")]
+        return normal == "abàÿß" and found == ["ab", ".,", "cd", "'s", "|", "Ã©", "!"]
 
-    def learn(self, words: list[bytes]) -> None:
-        """Tokenize new words and remember them.
+    def learn(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words, one after the other, and the number of each.
 
-        They are normalised and cut together, parted by blanks; the model then sees
+        Words are normalised and cut together, parted by blanks; the model then sees
         every distinct piece once. Words that hold an added token or other white space
         are left to the tokenizer whole.
         """
-        texts = [w.decode() for w in words]
-        apart = [t for t in texts if len(t.split()) != 1 or any(a in t for a in self.added)]
-        odd = set(apart)
-        together = [t for t in texts if t not in odd]
-        normal = self.tokenizer.normalizer.normalize_str(" ".join(together)) if together else ""
+        single = [i for i, w in enumerate(words) if self.plain and WORD.fullmatch(w)]
+        done = set(single)
+        rest = [i for i in range(len(words)) if i not in done]
+        texts = {i: words[i].decode() for i in rest}
+        together = [i for i, t in texts.items() if len(t.split()) == 1 and not any(a in t for a in self.added)]
+        normal = self.tokenizer.normalizer.normalize_str(" ".join([texts[i] for i in together])) if together else ""
         sizes = [len(x) + 1 for x in normal.split(" ")] if together else []
         if len(sizes) != len(together):
-            apart, together = texts, []
-        number = np.zeros(len(texts), np.int64)
-        ids: list[int] = []
+            together = []
+        number = np.zeros(len(words), np.int64)
+        ids, number[: len(single)] = word_ids(self.tokenizer.model, [words[i] for i in single], lower=True)
         if together:
+            if len(self.parts) > REMEMBERED:
+                self.parts.clear()
             found = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)
             for piece, _ in found:
                 if piece not in self.parts:
                     self.parts[piece] = [t.id for t in self.tokenizer.model.tokenize(piece)]
             lists = [self.parts[piece] for piece, _ in found]
-            ids = [i for x in lists for i in x]
+            ids += [i for x in lists for i in x]
             owner = np.searchsorted(np.cumsum(sizes), np.array([at for _, (at, _) in found], np.int64), side="right")
-            number[: len(together)] = np.bincount(owner, [len(x) for x in lists], len(together))
-        for i, text in enumerate(apart, len(together)):
-            own = self.tokenizer.encode(text, add_special_tokens=False).ids
+            number[len(single) : len(single) + len(together)] = np.bincount(owner, [len(x) for x in lists], len(together))
+        done.update(together)
+        apart = [i for i in rest if i not in done]
+        for at, i in enumerate(apart, len(done)):
+            own = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
             ids += own
-            number[i] = len(own)
-        base = len(self.known) + 1
-        self.known.update((t.encode(), base + i) for i, t in enumerate(together + apart))
-        self.ends.append(np.cumsum(number) + self.held)
-        self.held += len(ids)
-        self.ids.append(np.array(ids, np.uint32))
-
-    def encode(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+            number[at] = len(own)
+        # From the order they were found in to the order they were asked for.
+        place = np.argsort(np.array(single + together + apart, np.int64), kind="stable")
+        starts = np.cumsum(number) - number
+        return np.array(ids, np.uint32)[ranges(starts[place], number[place])], number[place]
+
+    def units(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes of all texts, starts and ends of their units, and the first unit of each text.
+
+        Units are words between white space, cut once more between an ASCII letter and ASCII punctuation
+        other than an apostrophe, where the tokenizer parts them whatever stands around; not in a
+        text that holds an added token.
+        """
+        data, offsets = text_bytes(texts)
+        starts, ends, counts = word_spans(data, offsets)
+        if not self.plain or not len(starts):
+            return data, starts, ends, np.concatenate([[0], np.cumsum(counts)])
+        kind = KINDS[data]
+        marks = np.flatnonzero((kind[1:] == MARK) & (kind[:-1] == LETTER)) + 1
+        for added in self.added:
+            held = pc.fill_null(pc.match_substring(texts, added), False).to_numpy(zero_copy_only=False)
+            if held.any():
+                marks = marks[~held[np.searchsorted(offsets, marks, side="right") - 1]]
+        first, last = np.zeros(len(data) + 1, bool), np.zeros(len(data) + 1, bool)
+        first[starts] = first[marks] = last[ends] = last[marks] = True
+        starts = np.flatnonzero(first)
+        return data, starts, np.flatnonzero(last), np.searchsorted(starts, offsets)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of ids of each text."""
         if self.whole:
-            found = self.tokenizer.encode_batch([(t or b"").decode() for t in texts], add_special_tokens=False)
+            found = self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)
             parts = [np.append(np.array(e.ids, np.uint32), np.uint32(self.end)) for e in found]
             return np.concatenate(parts) if parts else np.zeros(0, np.uint32), np.array([len(p) for p in parts], np.int64)
-        if len(self.known) > REMEMBERED:
-            self.forget()
-        # bytes.split() parts at ASCII white space and nothing else.
-        words = [t.split() if t else [] for t in texts]
-        new = list(set().union(*words) - self.known.keys())
-        if new:
-            self.learn(new)
-        self.ids, self.ends = [np.concatenate(self.ids)], [np.concatenate(self.ends)]
-        table, ends = self.ids[0], self.ends[0]
-        numbers: list[int] = []
-        for text in words:
-            numbers.extend(map(self.known.__getitem__, text))
-            numbers.append(0)
-        number = np.array(numbers, np.int64)
-        first = ends[number]
-        sizes = ends[number + 1] - first
-        starts = np.cumsum(sizes) - sizes
-        ids = table[np.repeat(first - starts, sizes) + np.arange(sizes.sum())]
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        return ids, np.diff(upto[np.cumsum([len(text) + 1 for text in words])], prepend=0)
+        data, starts, ends, first = self.units(texts)
+        ids, sizes = self.known.ids_of(data, starts, ends)
+        upto = np.concatenate([[0], np.cumsum(sizes)])[first]
+        return np.insert(ids, upto[1:], self.end).astype(np.uint32), np.diff(upto) + 1
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -240,7 +255,7 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, whole_texts: bo
             return pa.record_batch([*lists, pa.array([len(ids)]), pa.array([ids.tobytes()])], ["doc_ids", "counts", "n_ids", "ids"])
 
         for batch in pieces(batches, "text", PIECE_BYTES):
-            ids, own = encoder.encode(batch.column("text").cast(pa.binary()).to_pylist())
+            ids, own = encoder.encode(batch.column("text"))
             doc_ids += batch.column("doc_id").to_pylist()
             counts += own.tolist()
             parts.append(ids)
@@ -252,7 +267,8 @@ def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int, whole_texts: bo
             yield segment()
 
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    ordered = given.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    order = ["doc_id", F.xxhash64("text"), "text"]
+    ordered = given.repartitionByRange(*order[:2]).sortWithinPartitions(*order).select("doc_id", "text")
     found = ordered.mapInArrow(tokenize, "doc_ids array<long>, counts array<long>, n_ids long, ids binary")
     return found.select(F.spark_partition_id().alias("shard"), F.monotonically_increasing_id().alias("segment"), "*")
 

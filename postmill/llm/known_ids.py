@@ -1,7 +1,8 @@
-"""Token ids of byte strings a worker has met before, as numpy tables."""
+"""Token ids of byte strings a worker has met before, as numpy tables, and what byte-level tokenizers share."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 import numpy as np
@@ -12,6 +13,22 @@ REMEMBERED = 600_000
 LONGEST = 64
 INDEX_BITS = 20
 
+# Kinds of bytes, for the places where words part.
+LETTER, MARK, NEITHER, SPACE, LINE, OTHER = range(6)
+KINDS = np.full(256, NEITHER, np.uint8)
+KINDS[[b for b in range(128) if chr(b).isalpha()]] = LETTER
+KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = MARK
+KINDS[[9, 11, 12, 13]] = OTHER
+KINDS[32], KINDS[10] = SPACE, LINE
+
+# Letters of ASCII and Latin-1 in UTF-8, perhaps behind one space.
+WORD = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+# Byte-level models write a byte as itself where it is printable in Latin-1, and else as the next character from 256 on.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+KEEP_LINES = ALPHABET | {10: 10}
+
 Learn = Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]
 
 
@@ -25,6 +42,16 @@ def words_at(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[byt
     return [data[a:b].tobytes() for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
+def word_ids(model, words: list[bytes], lower: bool = False) -> tuple[list[int], list[int]]:
+    """Ids of plain words straight from a byte-level model, and the number of each."""
+    joined = b"\n".join(words)
+    if lower:
+        joined = joined.decode().lower().encode()
+    pieces = joined.decode("latin-1").translate(KEEP_LINES).split("\n") if words else []
+    lists = [[token.id for token in model.tokenize(piece)] for piece in pieces]
+    return [i for ids in lists for i in ids], [len(ids) for ids in lists]
+
+
 class KnownIds:
     """Ids by bytes: found by hash, then held byte by byte against what was learnt.
 
@@ -77,7 +104,7 @@ class KnownIds:
         order = np.argsort(self.hashes, kind="stable")
         self.hashes, self.entries = self.hashes[order], self.entries[order]
         buckets = (self.hashes >> np.uint64(64 - INDEX_BITS)).astype(np.int64)
-        self.index = np.searchsorted(buckets, np.arange((1 << INDEX_BITS) + 1))
+        self.index = np.concatenate([[0], np.cumsum(np.bincount(buckets, minlength=1 << INDEX_BITS))])
         self.text = np.concatenate([self.text, np.frombuffer(b"".join(words), np.uint8)])
         self.text_ends = np.concatenate([self.text_ends, self.text_ends[-1] + np.cumsum(np.array([len(w) for w in words], np.int64))])
         self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])

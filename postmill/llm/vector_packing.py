@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from postmill.llm.arrays import pieces as cut_batches
 from postmill.llm.arrays import text_bytes
-from postmill.llm.known_ids import KnownIds, ranges
+from postmill.llm.known_ids import KINDS, LETTER, LINE, MARK, OTHER, SPACE, WORD, KnownIds, ranges, word_ids
 from postmill.operators.joins import lookup
 from postmill.session import written
 
@@ -42,23 +42,8 @@ END_ID = 2
 TOKENS = 1024
 PIECE_BYTES = 1 << 20
 TOGETHER = 4096
-
-# Kinds of bytes, for the places where words part.
-LETTER, MARK, NEITHER, SPACE, LINE, OTHER = range(6)
-KINDS = np.full(256, NEITHER, np.uint8)
-KINDS[[b for b in range(128) if chr(b).isalpha()]] = LETTER
-KINDS[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = MARK
-KINDS[[9, 11, 12, 13]] = OTHER
-KINDS[32], KINDS[10] = SPACE, LINE
 RANK_BITS = 40
 
-# Byte-level models write a byte as itself where it is printable in Latin-1, and else as the next character from 256 on.
-PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
-
-# Up to here every library agrees on what a letter is.
-LAST_LETTER = "\u024f"
-
 # White space the tokenizer knows beside ASCII's.
 OTHER_SPACE = "[\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{1C}-\\x{1F}]"
 
@@ -112,17 +97,15 @@ class ByteEncoder:
         white space, but for one space, nor end with it are encoded together, parted by line
         feeds: each is then read as it is on its own.
         """
-        texts = [w.decode() for w in words]
-        single = [i for i, t in enumerate(texts) if t[t[:1] == " " :].isalpha() and max(t) <= LAST_LETTER]
+        single = [i for i, w in enumerate(words) if WORD.fullmatch(w)]
         done = set(single)
-        rest = [i for i in range(len(texts)) if i not in done]
-        plain = ~self.odd(pa.array([texts[i] for i in rest], pa.string()))
+        rest = [i for i in range(len(words)) if i not in done]
+        texts = {i: words[i].decode() for i in rest}
+        plain = ~self.odd(pa.array(list(texts.values()), pa.string()))
         together = [i for i, p in zip(rest, plain.tolist(), strict=True) if p and (t := texts[i]) and not t[-1].isspace() and not t[t[0] == " "].isspace()]
-        found, number = [], np.zeros(len(texts), np.int64)
-        tokenize = self.tokenizer.model.tokenize
-        lists = [[token.id for token in tokenize(words[i].decode("latin-1").translate(ALPHABET))] for i in single]
-        found.append(np.array([x for ids in lists for x in ids], np.uint32))
-        number[: len(single)] = [len(ids) for ids in lists]
+        number = np.zeros(len(words), np.int64)
+        ids, number[: len(single)] = word_ids(self.tokenizer.model, [words[i] for i in single])
+        found = [np.array(ids, np.uint32)]
         for at in range(0, len(together), TOGETHER):
             own = together[at : at + TOGETHER]
             at += len(single)

@@ -105,4 +105,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_vector_packing": op13_vector_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+NIBBLES = ", ".join(f"'{i:04b}'" for i in range(16))
+
+ORACLE_SQL: dict[str, str] = {
+    # A SHA-1 in base32: its hex digits as bits, read five at a time.
+    "op5_content_archive": f"""
+        with hashed as (
+          select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages),
+        bits as (
+          select *, array_to_string(list_transform(string_split(hex, ''),
+            lambda h: [{NIBBLES}][strpos('0123456789abcdef', h)]), '') as bits from hashed)
+        select page_id, octet_length(encode(html)) as payload_bytes,
+          array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            1 + cast(list_sum(list_transform(range(5), lambda j:
+              cast(substr(bits, cast(5 * i + j + 1 as bigint), 1) as bigint) * (16 >> cast(j as integer)))) as bigint), 1)), '') as payload_digest,
+          case when page_id = min(page_id) over same then 'response' else 'revisit' end as record_type,
+          case when page_id <> min(page_id) over same then min(page_id) over same end as refers_to
+        from bits window same as (partition by html)""",
+}

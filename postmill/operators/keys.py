@@ -59,9 +59,13 @@ def file_row_ids(scan: DataFrame, id_name: str = "job_id") -> DataFrame:
     A task reads the pieces of files it was given one after the other, so position
     follows from the row counter alone; rows are neither shuffled nor sorted.
     """
-    placed = written(scan, "file-rows")
+    return placed_row_ids(written(scan, "file-rows"), id_name)
+
+
+def placed_row_ids(placed: DataFrame, id_name: str = "job_id") -> DataFrame:
+    """`file_row_ids` of a written table that holds every row of a scan with its place."""
     pieces = dense_pieces(placed)
-    kept = [c for c in scan.columns if c not in PLACE]
+    kept = [c for c in placed.columns if c not in PLACE]
     return lookup(placed, pieces, ["_file", "_start"]).select(
         (F.col("_place") - F.col("_first") + F.col("_offset") + 1).cast("long").alias(id_name), *kept
     )

@@ -31,7 +31,7 @@ from postmill.fixed import JOB_COLUMNS, MART_COLUMNS, RAW_COLUMNS
 from postmill.operators import losses, quality, skills
 from postmill.operators.dimensions import given_names
 from postmill.operators.joins import fits_broadcast, lookup
-from postmill.operators.keys import PLACE, dense_ids, file_row_ids
+from postmill.operators.keys import PLACE, dense_ids, placed_row_ids
 from postmill.operators.loading import backfill_key, one_per_key, with_empty_key
 from postmill.plans import normalized
 from postmill.session import written
@@ -172,19 +172,21 @@ def new_by_id(load: Load, records: DataFrame) -> DataFrame:
     return load.add("staging.new_postings", lookup(rows, held, ["job_id"], "left_anti"), replace=True)
 
 
-def new_by_digest(load: Load, records: DataFrame) -> DataFrame:
+def new_by_digest(load: Load, records: DataFrame, ragged: int) -> DataFrame:
     """Records that are delivered more often than they are known, numbered on in file order.
 
     Copies of a record are counted, not compared: those that are more than known come from one
-    of them, at its place.
+    of them, at its place. `ragged` records are left out.
     """
+    given = records
     records = records.where(losses.whole(losses.RAGGED_COLUMN in records.columns))
     place = F.struct(*PLACE)
     held = load.known("staging.known_records")
     counts = written(records.groupBy("record").agg(F.count("*").alias("given"), F.min(place).alias("first")), "record-counts")
     if held is None:
         load.add("staging.known_records", counts.select("record", F.col("given").alias("copies")))
-        found = file_row_ids(records)
+        # Where no row is left out, a row's number follows from its place; else rows are sorted by place.
+        found = dense_ids(records, PLACE, "job_id").drop(*PLACE) if ragged else placed_row_ids(given)
     else:
         held = lookup(held, counts.select("record"), ["record"], "left_semi").groupBy("record").agg(F.sum("copies").alias("copies"))
         met = lookup(counts, written(held, "held-records"), ["record"], "left")
@@ -271,6 +273,19 @@ def build_counts(load: Load) -> None:
 # --- loads ------------------------------------------------------------------
 
 
+class WrongColumns(ValueError):
+    """A delivery that is no table of postings."""
+
+
+def check_columns(raw: DataFrame) -> None:
+    """Every column of a posting is there, and those without job_id come with their places."""
+    missing = quality.missing_columns(raw, RAW_COLUMNS)
+    if "job_id" not in raw.columns:
+        missing += quality.missing_columns(raw, PLACE)
+    if missing:
+        raise WrongColumns(f"no column {', '.join(missing)}")
+
+
 class TooMuchLost(ValueError):
     """A delivery lost more than it may."""
 
@@ -292,6 +307,7 @@ def append(raw: DataFrame, root: str, allowed: dict[str, float] | None = None) -
     anything is published the load is held against `allowed` (ALLOWED where it names nothing) and every
     declared rule; a load that breaks one raises and leaves the warehouse as it was.
     """
+    check_columns(raw)
     spark = raw.sparkSession
     before = current(spark, root)
     numbered = "job_id" in raw.columns
@@ -305,7 +321,7 @@ def append(raw: DataFrame, root: str, allowed: dict[str, float] | None = None) -
     check_allowance(found, given, {**ALLOWED, **(allowed or {})})
 
     keys = ["job_id"] if numbered else ["record"]
-    new = new_by_id(load, records) if numbered else new_by_digest(load, records)
+    new = new_by_id(load, records) if numbered else new_by_digest(load, records, found.get("ragged record", 0))
     unique = not numbered or quality.duplicate_keys(new, ["job_id"]).isEmpty()
     together(
         lambda: build_skills(load, new, unique),

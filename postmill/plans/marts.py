@@ -6,14 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.fixed import MART_COLUMNS
-from postmill.operators.joins import lookup
+from postmill.operators.joins import BROADCAST_BYTES, lookup
 
 
-def job_skills(jobs: DataFrame, bridge: DataFrame, dim_skill: DataFrame, dim_company: DataFrame) -> DataFrame:
-    """One row per job and skill; jobs without skills drop out, jobs without a company stay."""
+def job_skills(
+    jobs: DataFrame, bridge: DataFrame, dim_skill: DataFrame, dim_company: DataFrame, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """One row per job and skill; jobs without skills drop out, jobs without a company stay.
+
+    Ids are joined before names are looked up, so no name is shuffled. How often a key occurs is counted
+    in the tables themselves, which stand in the plan once each.
+    """
     facts = jobs.drop("company_name").join(bridge, "job_id")
-    named = lookup(facts, dim_skill, ["skill_id"])
-    return lookup(named, dim_company, ["company_id"], "left").select(*MART_COLUMNS)
+    named = lookup(facts, dim_skill, ["skill_id"], "left", limit, counted=bridge).where(F.col("skill_name").isNotNull())
+    return lookup(named, dim_company, ["company_id"], "left", limit, counted=jobs).select(*MART_COLUMNS)
 
 
 def _counts(rows: DataFrame, dim_skill: DataFrame, by: list[str]) -> DataFrame:

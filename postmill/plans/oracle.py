@@ -458,6 +458,15 @@ def oracle_sql() -> dict[str, str]:
             select distinct job_id, skill_id from relation join skills on skills.name = skill_name""",
         "csv_roundtrip": f"""with {RAW}
             select row_number() over (order by job_id) as job_id, {', '.join(RAW_COLUMNS)} from raw""",
+        "dq_contract_broken": f"""with {FLAT},{LISTED},
+            again as (select listed.* from listed join flat using (job_id) where company_name is null),
+            every as (select * from listed union all select * from again union all select job_id, '' from again),
+            pairs as (select job_id, skill_name, count(*) as n from every group by all)
+            select unnest(['missing_columns', 'missing_input_columns', 'wrong_types', 'empty_load', 'skill_name_type']) as "check",
+                   cast(unnest([2, 1, 2, 0, 0]) as bigint) as violations
+            union all select 'null_job_id', count(*) from raw where job_id % 11 = 0
+            union all select 'blank_skill_name', count(*) from again
+            union all select 'duplicate_job_skill', count(*) from pairs where n > 1""",
         "dq_normalized": f"""with {NORMAL},{GROUPS},
             pairs as (select distinct job_id, skill_id from relation join skills on skills.name = skill_name),
             zero as (select unnest([{", ".join(f"'{name}'" for t, d in NORMALIZED.items() for name in promises(t, d))}]) as "check"),
@@ -495,6 +504,12 @@ def oracle_sql() -> dict[str, str]:
               select skill_name, skill_group from group_jobs
               qualify row_number() over (partition by skill_name order by n desc, skill_group) = 1)
             select skill_id, skill_name as name, skill_group as skill_type from two_skills left join main_group using (skill_name)""",
+        "second_run_layer_counts": f"""with {TWO_RUNS}
+            select 'staging.records' as "table", count(*) as rows from flat
+            union all select 'core.jobs', count(*) from all_jobs
+            union all select 'core.dim_company', count(*) from companies
+            union all select 'core.dim_skill', count(*) from two_skills
+            union all select 'core.bridge_job_skill', count(*) from two_bridge""",
         "second_run_unnumbered": f"""with {FLAT}
             select row_number() over (order by coalesce({CONTRACT}, false) desc, job_id) as job_id, {', '.join(RAW_COLUMNS[:15])} from flat""",
         "run_report": f"""with {RAW}

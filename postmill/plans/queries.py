@@ -454,6 +454,19 @@ def dq_contract(feed: Feed) -> DataFrame:
     )
 
 
+@query
+def dq_contract_broken(feed: Feed) -> DataFrame:
+    """The staging and relation contracts on tables that break them: two columns are gone, two have other
+    types, and every skill of a job without a company comes twice, once blank."""
+    staging = feed.clean.drop("job_via", "company_name").withColumns({c: F.col(c).cast("string") for c in cleaning.SALARY_COLUMNS})
+    late = staging.withColumn("job_id", F.when(F.col("job_id") % 11 != 0, F.col("job_id")))
+    listed = written(skills.list_skills(feed.landed), "listed")
+    nameless = feed.flat_jobs.where("company_name is null").select("job_id")
+    again = listed.join(nameless, "job_id", "left_semi")
+    listed = listed.unionByName(again).unionByName(again.withColumn("skill_name", F.lit("")))
+    return quality.unite([quality.staging_contract(late), quality.relation_contract(listed)])
+
+
 @query
 def dq_normalized(feed: Feed) -> DataFrame:
     """Every declared rule of the normalized tables, over tables that break some of each kind."""
@@ -623,6 +636,13 @@ def second_run_skills_3nf(feed: Feed) -> DataFrame:
     return feed.loaded("normalized.skills").join(types, "skill_type_id", "left").select("skill_id", "name", "skill_type")
 
 
+@query
+def second_run_layer_counts(feed: Feed) -> DataFrame:
+    """Rows of the core tables and the last delivery, as the loads counted them while they wrote."""
+    kept = ("staging.records", "core.jobs", "core.dim_company", "core.dim_skill", "core.bridge_job_skill")
+    return ledger.layer_counts(feed.spark, feed.second_run).where(F.col("table").isin(*kept))
+
+
 @query
 def second_run_unnumbered(feed: Feed) -> DataFrame:
     """Files without ids: the contract jobs, then every posting; records are known by their content."""

@@ -196,6 +196,14 @@ def test_profile_estimates_over_loads(spark, tmp_path):
     assert got["distinct_sources"] == 0
 
 
+def test_a_delivery_without_a_column_is_refused(spark, tmp_path):
+    raw = numbered(spark, *FIRST)
+    with pytest.raises(ledger.WrongColumns, match="no column company_name, job_skills"):
+        ledger.append(raw.drop("company_name", "job_skills"), str(tmp_path))
+    with pytest.raises(ledger.WrongColumns, match="no column _file, _start, _place"):
+        ledger.append(raw.drop("job_id"), str(tmp_path))
+
+
 def test_empty_deliveries(spark, tmp_path):
     root = str(tmp_path / "w")
     state = ledger.append(numbered(spark), root)
@@ -238,14 +246,14 @@ def test_a_missing_column_raises_by_name_before_any_record_is_read(spark, tmp_pa
 
 @pytest.mark.parametrize("whole", [None, True])
 def test_ragged_records_are_told_and_not_loaded(spark, tmp_path, whole):
-    write_csv(tmp_path / "a.csv", [posting(job_title="good")])
+    write_csv(tmp_path / "a.csv", [posting(job_title="good"), posting(job_title="better")])
     more = ",".join(["x"] * 18)
-    with (tmp_path / "a.csv").open("a") as out:
-        out.write(f"few,fields\n{more}\n")
+    header, *lines = (tmp_path / "a.csv").read_text().splitlines()
+    (tmp_path / "a.csv").write_text("\n".join([header, "few,fields", lines[0], more, lines[1]]) + "\n")
     got = files.read_postings(spark, str(tmp_path / "a.csv"), whole, losses.RAGGED_COLUMN)
-    assert sorted(r[losses.RAGGED_COLUMN] or "" for r in got.collect()) == ["", "few,fields", more]
+    assert sorted(r[losses.RAGGED_COLUMN] or "" for r in got.collect()) == ["", "", "few,fields", more]
     if whole is None:
         state = ledger.append_csv(spark, str(tmp_path / "a.csv"), str(tmp_path / "w"))
-        assert [r.job_title for r in ledger.table(spark, state, "core.jobs").collect()] == ["good"]
+        assert sorted((r.job_id, r.job_title) for r in ledger.table(spark, state, "core.jobs").collect()) == [(1, "good"), (2, "better")]
         lost = state.table(spark, "quality.losses").where("reason = 'ragged'").collect()
         assert sorted(r.value for r in lost) == ["few,fields", more]

@@ -40,7 +40,7 @@ STAGES = [
     ("token ids", token_ids),
 ]
 
-# Signatures, tokens and word hashes have no SQL. No test holds run() against brute force yet.
+# Signatures, tokens and word hashes have no SQL. tests/llm/test_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
 
 

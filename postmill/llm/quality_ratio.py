@@ -6,7 +6,9 @@ are counted: the raw one over every document, the target over all trusted docume
 of the log ratio of smoothed target and raw probability; one threshold holds for all.
 
 Everything is SQL on built-in functions. Counts are combined before the shuffle to one
-row per bucket and task. The log ratios, BUCKETS numbers, are one constant of the plan.
+row per bucket and task. The log ratios, BUCKETS numbers, are one constant of the plan. Trusted
+documents are told by bitmaps of their ids, which are broadcast within a measured size, so texts stay
+where they are read; only ids too many and too scattered for that are joined by shuffle.
 
 Defined cases: null text has no words and fails the base rules, as does any text below
 50 words. Without trusted documents all ratios are 0 and only the base rules judge.
@@ -22,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postmill.llm.words import text_of, words
+from postmill.operators.joins import BROADCAST_BYTES, lookup
 from postmill.session import written
 
 BUCKETS = 1 << 14
@@ -31,12 +34,16 @@ LEAST_WORDS = 50
 
 SYMBOL = r"[#*$%&|<>]"
 
+# Bytes of one bitmap, which covers 32,768 ids.
+BITMAP_BYTES = 4096
+
 
 def hashed_grams(own: Column, buckets: int) -> Column:
     """Bucket numbers of a word array's words and neighbouring pairs."""
-    single = F.transform(own, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    pairs = F.zip_with(own, F.slice(own, 2, F.greatest(F.size(own) - 1, F.lit(0))), lambda a, b: F.when(b.isNotNull(), F.pmod(F.xxhash64(a, b), F.lit(buckets)).cast("int")))
-    return F.concat(single, F.filter(pairs, lambda x: x.isNotNull()))
+    place = lambda *words: F.pmod(F.xxhash64(*words), F.lit(buckets)).cast("int")
+    pairs = F.greatest(F.size(own) - 1, F.lit(0))
+    single = F.transform(own, lambda w: place(w))
+    return F.concat(single, F.zip_with(F.slice(own, 1, pairs), F.slice(own, 2, pairs), lambda a, b: place(a, b)))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -44,11 +51,26 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select(F.col("doc_id").alias("good_id")).distinct()
 
 
+def with_trust(rows: DataFrame, good: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """rows (doc_id, text) with good, 1 where doc_id is among the good_ids and else 0; null ids are not."""
+    place = lambda c: (F.bitmap_bucket_number(c), F.bitmap_bit_position(c))
+    bucket, bit = place(F.col("good_id"))
+    maps = written(good.groupBy(bucket.alias("_map")).agg(F.bitmap_construct_agg(bit).alias("_bits")), "trusted-maps")
+    if maps.count() * BITMAP_BYTES > limit:
+        ids = written(good.select(F.col("good_id").alias("doc_id"), F.lit(1).alias("good")), "trusted-ids")
+        return lookup(rows, ids, ["doc_id"], "left", limit).withColumn("good", F.coalesce("good", F.lit(0)))
+    bucket, bit = place(F.col("doc_id"))
+    met = rows.withColumns({"_map": bucket, "_bit": bit}).join(F.broadcast(maps), "_map", "left")
+    byte = F.conv(F.hex(F.substring("_bits", (F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.expr("shiftright(_byte, cast(_bit % 8 as int))").bitwiseAND(F.lit(1))
+    return met.withColumn("_byte", byte).withColumn("good", F.coalesce(held, F.lit(0))).drop("_map", "_bit", "_bits", "_byte")
+
+
 def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
     """Per bucket the log of target over raw probability."""
     good = written(trusted_ids(labels), "trusted")
-    marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).join(good, F.col("doc_id") == F.col("good_id"), "left")
-    grams = marked.select(F.col("good_id").isNotNull().cast("int").alias("good"), F.explode(hashed_grams(words(F.col("text")), buckets)).alias("bucket"))
+    marked = with_trust(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), good)
+    grams = marked.select("good", F.explode(hashed_grams(words(F.col("text")), buckets)).alias("bucket"))
     counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target")).collect()
     raw_total = sum(r.raw for r in counts) + SMOOTHING * buckets
     target_total = sum(r.target for r in counts) + SMOOTHING * buckets
@@ -104,20 +126,34 @@ def score(own: Column, ratios: list[float]) -> Column:
     # Text split and cast is folded to one array constant by the optimizer.
     table = F.split(F.lit(",".join(f"{x:.6f}" for x in ratios)), ",").cast("array<double>")
     grams = hashed_grams(own, len(ratios))
-    total = F.aggregate(F.transform(grams, lambda g: F.get(table, g)), F.lit(0.0), lambda a, x: a + x)
+    total = F.aggregate(grams, F.lit(0.0), lambda a, g: a + F.get(table, g))
     return F.when(F.size(own) > 0, total / (2 * F.size(own) - 1)).otherwise(0.0)
 
 
+def settled(rows: DataFrame, *names: str) -> DataFrame:
+    """rows with these columns as values, so that no filter on them is turned back into what made them.
+
+    Without this a filter takes the place of each column by its expression, down to the text,
+    and sorts a document's windows again for every word.
+    """
+    rest = [c for c in rows.columns if c not in names]
+    return rows.select(*rest, F.inline(F.array(F.struct(*names))))
+
+
+def scored(docs: DataFrame, ratios: list[float], threshold: float, keep: bool = False) -> DataFrame:
+    """base_counts with score and kept, without the words."""
+    counted = base_counts(docs, keep).withColumn("score", score(F.col("words"), ratios)).drop("words")
+    counted = settled(counted, *[c for c in counted.columns if c != "doc_id"])
+    return counted.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+
+
 def judged(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, the counts, base_failed, score and kept of every document."""
-    ratios = log_ratios(docs, labels)
-    counted = base_counts(docs).withColumn("score", score(F.col("words"), ratios)).drop("words")
-    return counted.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+    return scored(docs, log_ratios(docs, labels), threshold)
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents that pass, columns as given; rows are judged where they are read."""
-    ratios = log_ratios(docs, labels)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    counted = base_counts(docs.select(row.alias("doc_id"), "text"), keep=True)
-    return counted.where(~F.col("base_failed")).where(score(F.col("words"), ratios) >= threshold).select("doc_id.*")
+    whole = docs.select(row.alias("doc_id"), "text")
+    return scored(whole, log_ratios(docs, labels), threshold, keep=True).where("kept").select("doc_id.*")

@@ -93,8 +93,8 @@ def emissions(lists: list[list[int]], weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def forward_backward(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray, steps: int = STEPS):
-    """Marginals of every word, and expected transitions between neighbours, summed over all.
+def forward_backward(scores: np.ndarray, counts: np.ndarray, transitions: np.ndarray, steps: int = STEPS, expect: bool = True):
+    """Marginals of every word, and expected transitions between neighbours, summed over all (zero unless `expect`).
 
     scores: emission scores of all words, text after text; counts: words per text.
     """
@@ -121,10 +121,13 @@ def forward_backward(scores: np.ndarray, counts: np.ndarray, transitions: np.nda
         # Product of each piece's steps; the first word of a text has no transition into it.
         product = np.broadcast_to(np.eye(k), (n, k, k)).copy()
         for t in range(steps):
-            live = valid[t]
-            grown = product[live] @ move if t else np.where(first[live][:, None, None], product[live], product[live] @ move)
-            grown = grown * cells[t][live][:, None, :]
-            product[live] = grown / grown.sum(axis=(1, 2), keepdims=True)
+            grown = (product.reshape(-1, k) @ move).reshape(n, k, k)
+            if t == 0:
+                grown[first] = product[first]
+            grown *= cells[t][:, None, :]
+            over = ~valid[t]
+            grown[over] = product[over]
+            product = grown / grown.reshape(n, -1).sum(axis=1)[:, None, None]
         at = np.flatnonzero(first)
         for i in range(1, int(per.max())):
             now = at[per > i] + i
@@ -134,7 +137,8 @@ def forward_backward(scores: np.ndarray, counts: np.ndarray, transitions: np.nda
             now = last[per > i] - i
             message = np.einsum("nkj,nj->nk", product[now + 1], outof[now + 1])
             outof[now] = message / message.sum(axis=1, keepdims=True)
-        rounds = [np.arange(n)]
+        # All pieces at once: slices, so that a step copies nothing.
+        rounds = [slice(None)]
     else:
         # First pieces of all texts, second pieces, and so on.
         rounds = np.split(np.argsort(inside, kind="stable"), np.cumsum(np.bincount(inside))[:-1])
@@ -162,13 +166,14 @@ def forward_backward(scores: np.ndarray, counts: np.ndarray, transitions: np.nda
             both = ahead[t, at] * back
             both = both / both.sum(axis=1, keepdims=True)
             marginal[t, at] = both
-            live = valid[t, at] & ~(first[at] if t == 0 else np.zeros(len(at), bool))
             here = cells[t, at] * back
             gone = here @ move.T
-            before = ahead[t - 1, at] if t else into[at]
-            # Each pair's before x move x here, divided by its sum, added over all pairs.
-            total_of = np.maximum((before[live] * gone[live]).sum(axis=1, keepdims=True), 1e-300)
-            expected += move * ((before[live] / total_of).T @ here[live])
+            if expect:
+                live = valid[t, at] & ~first[at] if t == 0 else valid[t, at]
+                before = ahead[t - 1, at] if t else into[at]
+                # Each pair's before x move x here, divided by its sum, added over all pairs.
+                total_of = np.maximum((before[live] * gone[live]).sum(axis=1, keepdims=True), 1e-300)
+                expected += move * ((before[live] / total_of).T @ here[live])
             gone = gone / np.maximum(gone.sum(axis=1, keepdims=True), 1e-300)
             back = np.where(valid[t, at][:, None], gone, back)
         if len(rounds) > 1:
@@ -265,7 +270,7 @@ class Labeller:
             numbers.extend(map(self.known.__getitem__, part))
         number = np.array(numbers, np.int64)
         counts = np.array([len(part) for part in split], np.int64)
-        marginal, _ = forward_backward(self.table[number], counts, self.model.transitions)
+        marginal, _ = forward_backward(self.table[number], counts, self.model.transitions, expect=False)
         return marginal, self.lettered[number], counts
 
     def texts(self, texts: list[str]) -> tuple[list[str], list[float]]:

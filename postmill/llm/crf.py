@@ -26,7 +26,6 @@ a letter say nothing. Rows without doc_id are held out. Without training rows al
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -35,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from postmill.llm.arrays import pieces
+from postmill.llm.arrays import U64, mix, pieces
+from postmill.llm.known_ids import ranges
 
 FOLDS = 5
 SAMPLE, ROWS, LEAST = 300, 9600, 50
@@ -50,16 +50,45 @@ LEXICON = 20_000
 UNKNOWN = "und"
 
 
-def word_features(word: str, lexicon: dict[str, int], features: int = FEATURES) -> list[int]:
-    """Hashed features of a word; none if it has no letter."""
-    core = "".join(c for c in word.lower() if c.isalpha())
-    if not core:
-        return []
-    names = [f"p{core[:n]}" for n in (1, 2, 3)] + [f"s{core[-n:]}" for n in (1, 2, 3)]
-    padded = f"<{core}>"
-    names += {"g" + padded[i : i + n] for n in (2, 3, 4) for i in range(len(padded) - n + 1)}
-    names.append(f"x{lexicon.get(core, -1)}")
-    return [zlib.crc32(n.encode()) % features for n in names]
+def core_of(word: str) -> str:
+    """The word's letters in lower case."""
+    low = word.lower()
+    return low if low.isalpha() else "".join(filter(str.isalpha, low))
+
+
+def word_features(words: list[str], lexicon: dict[str, int], features: int = FEATURES) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of all words, word after word and each once, and the number of each; none if a word has no letter."""
+    cores = [core_of(w) for w in words]
+    has = np.flatnonzero(np.array([len(c) for c in cores], np.int64))
+    if not len(has):
+        return np.zeros(0, np.int64), np.zeros(len(words), np.int64)
+    cores = [cores[i] for i in has.tolist()]
+    code = np.frombuffer("".join(f"<{c}>" for c in cores).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    sizes = np.array([len(c) + 2 for c in cores], np.int64)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    word = np.repeat(np.arange(len(cores)), sizes)
+    entry = np.array([lexicon.get(c, -1) for c in cores], np.int64)
+    owners, hashes = [np.arange(len(cores))], [mix((entry + 2).astype(np.uint64) + U64(1 << 40))]
+
+    def add(kind: int, at: np.ndarray, n: int) -> None:
+        value = np.full(len(at), 8 * kind + n, np.uint64)
+        for j in range(n):
+            value = value * U64(0x9E3779B97F4A7C15) + code[at + j]
+        owners.append(word[at])
+        hashes.append(mix(value))
+
+    for n in (2, 3, 4):
+        at = np.arange(len(code))
+        add(1, at[at + n <= ends[word]], n)
+    for n in (1, 2, 3):
+        long = sizes - 2 >= n
+        add(2, starts[long] + 1, n)
+        add(3, ends[long] - 1 - n, n)
+    place = (np.concatenate(hashes) % U64(features)).astype(np.int64)
+    keys = np.sort(np.concatenate(owners) * features + place)
+    keys = keys[np.diff(keys, prepend=-1) > 0]
+    return keys % features, np.bincount(has[keys // features], minlength=len(words))
 
 
 @dataclass
@@ -71,8 +100,7 @@ class Model:
 
     def scores(self, words: list[str]) -> np.ndarray:
         """Emission scores per word and label."""
-        lists = [word_features(w, self.lexicon, len(self.weights)) for w in words]
-        return emissions(lists, self.weights)
+        return emissions(*word_features(words, self.lexicon, len(self.weights)), self.weights)
 
 
 def columns(k: int) -> list[slice]:
@@ -80,13 +108,11 @@ def columns(k: int) -> list[slice]:
     return [slice(j, min(j + COLUMNS, k)) for j in range(0, k, COLUMNS)]
 
 
-def emissions(lists: list[list[int]], weights: np.ndarray) -> np.ndarray:
+def emissions(flat: np.ndarray, sizes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Mean weight of each word's features, times the square root of their number."""
-    sizes = np.array([len(x) for x in lists], np.int64)
-    out = np.zeros((len(lists), weights.shape[1]), np.float32)
+    out = np.zeros((len(sizes), weights.shape[1]), np.float32)
     has = np.flatnonzero(sizes)
     if len(has):
-        flat = np.array([f for x in lists for f in x], np.int64)
         starts = np.concatenate([[0], np.cumsum(sizes[has])[:-1]])
         for part in columns(weights.shape[1]):
             out[has, part] = np.add.reduceat(weights[flat, part], starts) / np.sqrt(sizes[has])[:, None]
@@ -197,7 +223,7 @@ def train(rows: list[tuple[str, str]], features: int = FEATURES, epochs: int = E
     seen: dict[str, Counter[int]] = {}
     for label, words in stretches:
         for w in words:
-            core = "".join(c for c in w.lower() if c.isalpha())
+            core = core_of(w)
             if core:
                 seen.setdefault(core, Counter())[label] += 1
     common = sorted((w for w in seen if seen[w].total() >= 3), key=lambda w: (-seen[w].total(), w))[:LEXICON]
@@ -206,7 +232,8 @@ def train(rows: list[tuple[str, str]], features: int = FEATURES, epochs: int = E
     lexicon = {w: label * 3 + int(2.999 * seen[w][label] / seen[w].total()) for w, label in usual.items()}
     vocabulary = sorted({w for _, words in stretches for w in words})
     number = {w: i for i, w in enumerate(vocabulary)}
-    lists = [word_features(w, lexicon, features) for w in vocabulary]
+    every, lengths = word_features(vocabulary, lexicon, features)
+    begins = np.cumsum(lengths) - lengths
     k = len(labels)
     weights, moves = np.zeros((features, k), np.float32), np.zeros((k, k))
     grown, moved = np.full((features, k), 1e-6, np.float32), np.full((k, k), 1e-6)
@@ -218,12 +245,11 @@ def train(rows: list[tuple[str, str]], features: int = FEATURES, epochs: int = E
             words = np.array([number[w] for _, part in batch for w in part], np.int64)
             truth = np.repeat([label for label, _ in batch], [len(part) for _, part in batch])
             counts = np.array([sum(len(part) for _, part in batch[i : i + 4]) for i in range(0, len(batch), 4)])
-            own = [lists[w] for w in words]
-            marginal, expected = forward_backward(emissions(own, weights), counts, moves)
+            sizes = lengths[words]
+            flat = every[ranges(begins[words], sizes)]
+            marginal, expected = forward_backward(emissions(flat, sizes, weights), counts, moves)
             error = -marginal
             error[np.arange(len(truth)), truth] += 1
-            sizes = np.array([len(x) for x in own])
-            flat = np.array([f for x in own for f in x], np.int64)
             error = error / np.sqrt(np.maximum(sizes, 1))[:, None]
             places, slot = np.unique(flat, return_inverse=True)
             for part in columns(k):

@@ -53,10 +53,35 @@ def orphans(
     child: DataFrame, key: str, parent: DataFrame, name: str, skip_null: bool = False
 ) -> DataFrame:
     """Child rows without a parent. A null key has none, unless nulls are skipped."""
+    return _key_report(_keyed(parent, key, child, skip_null), {name: _lost()})
+
+
+def _lost() -> Column:
+    """Of the rows that `_keyed` makes: the child's without a parent."""
+    return F.coalesce(F.sum(F.when(F.col("_key").isNull() | (F.col("_rows") == 0), F.col("_refs"))), F.lit(0))
+
+
+def _keyed(parent: DataFrame, key: str, child: DataFrame, skip_null: bool = False) -> DataFrame:
+    """(_key, _rows, _refs): how often parent and child hold each key.
+
+    One grouping of both instead of a join, which might broadcast every key of a parent that compresses well.
+    """
     rows = child.where(F.col(key).isNotNull()) if skip_null else child
-    counts = rows.groupBy(key).agg(F.count("*").alias("_rows"))
-    missing = counts.join(parent.select(key).distinct(), key, "left_anti")
-    return as_rows(missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias(name)))
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+    held = parent.select(F.col(key).alias("_key"), one.alias("_rows"), none.alias("_refs"))
+    held = held.unionByName(rows.select(F.col(key).alias("_key"), none.alias("_rows"), one.alias("_refs")))
+    return held.groupBy("_key").agg(F.sum("_rows").alias("_rows"), F.sum("_refs").alias("_refs"))
+
+
+def _key_report(keyed: DataFrame, totals: dict[str, Column]) -> DataFrame:
+    return as_rows(keyed.agg(*[total.alias(name) for name, total in totals.items()]))
+
+
+def referred_key(parent: DataFrame, key: str, table: str, child: DataFrame, name: str, skip_null: bool = False) -> DataFrame:
+    """`primary_key` of parent and `orphans` of a child that refers to it, from one grouping."""
+    nulls = F.coalesce(F.sum(F.when(F.col("_key").isNull(), F.col("_rows"))), F.lit(0))
+    totals = {f"{table}_pk_null": nulls, f"{table}_pk_duplicate": F.count_if(F.col("_rows") > 1), name: _lost()}
+    return _key_report(_keyed(parent, key, child, skip_null), totals)
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], count: str = "rows") -> DataFrame:
@@ -142,13 +167,12 @@ def core_constraints(jobs: DataFrame, bridge: DataFrame, dim_skill: DataFrame, d
     """Every key, unique and reference rule declared on the core tables."""
     return unite(
         [
-            primary_key(jobs, ["job_id"], "jobs"),
-            primary_key(dim_skill, ["skill_id"], "dim_skill"),
+            referred_key(jobs, "job_id", "jobs", bridge, "orphan_job_ids"),
+            referred_key(dim_skill, "skill_id", "dim_skill", bridge, "orphan_skill_ids"),
             unique_name(dim_skill, "skill_name", "dim_skill"),
             primary_key(bridge, ["job_id", "skill_id"], "bridge_job_skill"),
-            primary_key(dim_company, ["company_id"], "dim_company"),
+            referred_key(dim_company, "company_id", "dim_company", jobs, "orphan_company_ids", skip_null=True),
             unique_name(dim_company, "company_name", "dim_company"),
-            references(jobs, bridge, dim_skill, dim_company),
             missing_keys(jobs, "company_name", "company_id", "missing_company_id"),
         ]
     )

@@ -79,6 +79,11 @@ class Feed:
         keyless = loading.with_empty_key(self.flat_jobs, "company_id")
         return loading.backfill_key(keyless, self.dim_company, "company_name", "company_id")
 
+    @cached_property
+    def keyed_jobs(self) -> DataFrame:
+        """The jobs written with their companies, for queries that read them more than once."""
+        return written(self.jobs, "keyed-jobs")
+
     @cached_property
     def deliveries(self) -> list[DataFrame]:
         """The contract jobs under an older title, then every posting."""
@@ -388,8 +393,8 @@ def table_summary(feed: Feed) -> DataFrame:
 @query
 def dq_orphans(feed: Feed) -> DataFrame:
     """References of the dirty bridge, and of jobs to the companies of contract jobs."""
-    held = feed.jobs.where("job_schedule_type = 'Contractor'").select("company_id").distinct()
-    return quality.references(feed.jobs, feed.dirty_bridge, feed.dim_skill, held)
+    held = feed.keyed_jobs.where("job_schedule_type = 'Contractor'").select("company_id").distinct()
+    return quality.references(feed.keyed_jobs, feed.dirty_bridge, feed.dim_skill, held)
 
 
 @query
@@ -406,8 +411,8 @@ def dq_duplicates(feed: Feed) -> DataFrame:
             quality.duplicated(bridge, ["job_id"], "dup_job_ids"),
             quality.duplicated(bridge, ["skill_id"], "dup_skill_ids"),
             quality.duplicated(feed.relation, ["skill_name"], "dup_skill_names"),
-            quality.duplicated(feed.jobs, ["company_name"], "dup_company_names"),
-            quality.duplicated(feed.jobs, ["company_id"], "dup_company_ids"),
+            quality.duplicated(feed.keyed_jobs, ["company_name"], "dup_company_names"),
+            quality.duplicated(feed.keyed_jobs, ["company_id"], "dup_company_ids"),
         ]
     )
 
@@ -445,11 +450,13 @@ def dq_skill_lengths(feed: Feed) -> DataFrame:
 
 @query
 def dq_contract(feed: Feed) -> DataFrame:
+    """Every contract's tables come from postings that were written once."""
+    feed.raw = feed.landed
     return quality.unite(
         [
             quality.staging_contract(feed.clean),
             quality.relation_contract(skills.list_skills(feed.raw)),
-            quality.core_constraints(feed.jobs, feed.bridge, feed.dim_skill, feed.dim_company),
+            quality.core_constraints(feed.keyed_jobs, feed.bridge, feed.dim_skill, feed.dim_company),
         ]
     )
 

@@ -13,8 +13,9 @@ bit per component, where a bucket is small; only likely pairs leave the task. A
 are held against a few heads and, while the bucket still holds several components, meet anew
 under longer keys of two bands: texts that are alike share many bands (8 of 32 on
 average at similarity 0.8), texts that share a common passage few. There each member goes to its
-likeliest partner of another component. So the work of a text is bounded whatever the size of
-its buckets. Candidates are verified on whole texts, and classes are connected components.
+likeliest partner of another component. These steps only spare work: large buckets that still hold
+several components after them are compared pair by pair too, in blocks, so that a task holds two blocks
+whatever the size of a bucket. Candidates are verified on whole texts, and classes are connected components.
 
 Nodes are distinct texts (by digest), so copies meet once and are never expanded.
 
@@ -50,6 +51,9 @@ SMALL = 32
 HEADS = 4
 STRIDES = 2
 LEVELS = 2
+# What then is left of large buckets is compared whole, in blocks of about BLOCK members, CHUNK of them at once.
+BLOCK = 2048
+CHUNK = 256
 
 SIGNED = "doc_id long, digest binary, bands array<long>, sketch array<long>"
 
@@ -202,6 +206,50 @@ def _pairs_with_heads(members: DataFrame, large: DataFrame) -> DataFrame:
     return best.select(F.least("digest", "b.digest").alias("a"), F.greatest("digest", "b.digest").alias("b")).distinct()
 
 
+def _pairs_in_blocks(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+    """All likely pairs of different components within buckets (key, size) of any size.
+
+    A bucket's members are dealt over blocks, and each two blocks, or one with itself, meet in a cell.
+    """
+    blocks = F.ceil(F.col("size") / block).cast("int")
+    placed = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("digest", F.lit("block")), blocks).cast("int"))
+    placed = placed.select("key", "digest", "component", "sketch", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    cell = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    rows = placed.select(cell.alias("cell"), "digest", "component", "sketch", (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
+    rows = rows.repartition("cell").sortWithinPartitions("cell")
+
+    def compare(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            edges = [0, *(np.flatnonzero(np.diff(table["cell"].to_numpy())) + 1).tolist()]
+            for start, end in zip(edges[:-1], edges[1:], strict=True):
+                yield from pairs_in(table.slice(start, end - start))
+            rest = table.slice(edges[-1])
+        if rest is not None and len(rest):
+            yield from pairs_in(rest)
+
+    def pairs_in(table):
+        codes: dict[bytes, int] = {}
+        component = np.array([codes.setdefault(x, len(codes)) for x in table["component"].to_pylist()])
+        if len(codes) < 2:
+            return
+        digests = np.array(table["digest"].to_pylist(), object)
+        sketch = np.array(table["sketch"].to_pylist(), np.int64).view(np.uint64).reshape(-1, SKETCH)
+        low, high = (np.flatnonzero(table[side].to_numpy()) for side in ("low", "high"))
+        for start in range(0, len(low), CHUNK):
+            at = low[start : start + CHUNK]
+            bits = sum(np.bitwise_count(sketch[at, i][:, None] ^ sketch[high, i]).astype(np.int16) for i in range(SKETCH))
+            x, y = np.nonzero((bits <= MOST_BITS) & (component[at][:, None] != component[high]))
+            one, other = digests[at[x]], digests[high[y]]
+            if len(one):
+                swap = one > other
+                a, b = np.where(swap, other, one), np.where(swap, one, other)
+                yield pa.record_batch([pa.array(a.tolist(), pa.binary()), pa.array(b.tolist(), pa.binary())], ["a", "b"])
+
+    return rows.mapInArrow(compare, "a binary, b binary").distinct()
+
+
 def _named(met: DataFrame, known: DataFrame) -> DataFrame:
     """Bucket members with their components, in buckets that hold several."""
     named = met.join(known.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
@@ -247,7 +295,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     # Then what is left between components within buckets: all of a small bucket, and a
     # large one's members with HEADS of them and under longer keys.
     tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    met = met.drop("first")
+    whole = met = met.drop("first")
     for level in range(LEVELS):
         members = _named(met, known)
         if members.isEmpty():
@@ -263,11 +311,20 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         if not more.isEmpty():
             links = links.unionByName(more)
             known = written(components(links, "a", "b"), "known")
-        if level == LEVELS - 1 or large.isEmpty():
-            break
         tried = tried.unionByName(pairs)
+        if large.isEmpty():
+            break
+        if level == 0:
+            whole = written(members.join(large.select("key"), "key", "left_semi").drop("component"), "whole")
         met = _longer_keys(members.join(large.select("key"), "key", "left_semi"), nodes)
-    joined = known
+
+    # Last, large buckets that still hold several components: every likely pair not tried yet.
+    members = _named(whole, known)
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > SMALL)
+    pairs = _pairs_in_blocks(members, written(sizes, "sizes"), BLOCK)
+    pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "last-pairs")
+    more = written(verified(pairs, texts, similarity), "last-links")
+    joined = known if more.isEmpty() else components(links.unionByName(more), "a", "b")
 
     of = nodes.select("digest", "doc_id").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     least = of.groupBy("component").agg(F.min("doc_id").alias("class_id"))

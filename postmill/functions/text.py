@@ -12,9 +12,18 @@ from postmill.fixed import POSTED_FORMAT, TRUE_TOKENS, WHITESPACE
 NUMBER = r"^(?i:[+-]?(?:\d++(?:\.\d*+)?+|\.\d++)(?:e[+-]?\d++)?+|nan|[+-]?inf(?:inity)?)\z"
 
 
+# Text that begins and ends with printable ASCII other than the space, so with no white space.
+BARE = r"^[!-~](?:(?s:.*)[!-~])?\z"
+
+
 def strip(text: Column) -> Column:
-    """Remove Unicode white space at both ends (trim alone removes only spaces)."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Remove Unicode white space at both ends (trim alone removes only spaces).
+
+    A trim that is given its characters searches them for each end and notes every character's place. So
+    it is left out where spaces were all there was to remove.
+    """
+    spaceless = F.trim(text)
+    return F.when(spaceless.rlike(BARE), spaceless).otherwise(F.btrim(text, F.lit(WHITESPACE)))
 
 
 def blank_to_null(text: Column) -> Column:

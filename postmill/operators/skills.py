@@ -102,20 +102,48 @@ def _spread(rows: DataFrame, unique_jobs: bool) -> DataFrame:
 
 
 def _spread_in_row(rows: DataFrame) -> DataFrame:
+    return relation_in_row(_distinct_in_row(rows))
+
+
+def _distinct_in_row(rows: DataFrame) -> DataFrame:
+    """(job_id, pairs): the distinct (skill_group, skill_name) of each row. A group is folded once, whatever its skills."""
+    folded = F.transform(
+        "entries", lambda entry: F.struct(normal_name(entry["key"]).alias("group"), _folded(entry["value"]).alias("names"))
+    )
+
     def pairs(entry: Column) -> Column:
-        return F.transform(
-            F.filter(_or_none(entry["value"], NAMES), _named),
-            lambda name: F.struct(
-                normal_name(entry["key"]).alias("skill_group"), normal_name(name).alias("skill_name")
-            ),
-        )
+        return F.transform(entry["names"], lambda name: F.struct(entry["group"].alias("skill_group"), name.alias("skill_name")))
 
-    distinct = F.array_distinct(F.flatten(F.transform("entries", pairs)))
-    return rows.select("job_id", F.explode_outer(distinct).alias("_pair")).select("job_id", "_pair.*").where(
-        F.col("skill_name").isNotNull()
+    return rows.select("job_id", folded.alias("_folded")).select(
+        "job_id", F.array_distinct(F.flatten(F.transform("_folded", pairs))).alias("pairs")
     )
 
 
+def _folded(names: Column) -> Column:
+    """Normal names of a list, null as an empty one, without blanks."""
+    return F.filter(F.transform(_or_none(names, NAMES), normal_name), lambda name: name != "")
+
+
+def skills_by_job(df: DataFrame, list_column: str = "job_skills", dict_column: str = "job_type_skills") -> DataFrame:
+    """(job_id, pairs) of postings in which every job_id occurs once: the distinct (skill_group, skill_name) of each.
+
+    Written once, it gives the relation and the distinct pairs, and neither needs a shuffle.
+    """
+    return _distinct_in_row(_entries(df, list_column, dict_column))
+
+
+def relation_in_row(by_job: DataFrame) -> DataFrame:
+    """The relation of all_skills from the rows of skills_by_job."""
+    rows = by_job.select("job_id", F.explode_outer("pairs").alias("_pair")).select("job_id", "_pair.*")
+    return rows.where(F.col("skill_name").isNotNull())
+
+
+def skill_pairs_by_job(by_job: DataFrame) -> DataFrame:
+    """(job_id, skill_name), distinct, from the rows of skills_by_job."""
+    rows = by_job.select("job_id", F.explode_outer(F.array_distinct("pairs.skill_name")).alias("skill_name"))
+    return rows.where(F.col("skill_name").isNotNull())
+
+
 def union_relations(listed: DataFrame, typed: DataFrame) -> DataFrame:
     """Distinct union of two relations that exist already."""
     return (
@@ -141,7 +169,7 @@ def skill_pairs_in_row(
 def pairs_in_row_of(rows: DataFrame) -> DataFrame:
     """(job_id, skill_name) from rows (job_id, entries) in which every job_id occurs once."""
     values = F.transform("entries", lambda entry: _or_none(entry["value"], NAMES))
-    names = F.array_distinct(F.transform(F.filter(F.flatten(values), _named), normal_name))
+    names = F.array_distinct(_folded(F.flatten(values)))
     rows = rows.select("job_id", F.explode_outer(names).alias("skill_name"))
     return rows.where(F.col("skill_name").isNotNull())
 

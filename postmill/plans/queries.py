@@ -45,9 +45,22 @@ class Feed:
     def clean(self) -> DataFrame:
         return cleaning.clean_postings(self.raw)
 
+    @cached_property
+    def unique(self) -> bool:
+        """Whether no job_id repeats, found by a shuffle of ids alone."""
+        return quality.duplicate_keys(self.raw.select("job_id"), ["job_id"]).isEmpty()
+
+    @cached_property
+    def by_job(self) -> DataFrame:
+        return written(skills.skills_by_job(self.raw), "skills-by-job")
+
     @cached_property
     def relation(self) -> DataFrame:
-        return written(skills.all_skills(self.raw), "relation")
+        return skills.relation_in_row(self.by_job) if self.unique else written(skills.all_skills(self.raw), "relation")
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return skills.skill_pairs_by_job(self.by_job) if self.unique else skills.skill_pairs(self.relation)
 
     @cached_property
     def dim_skill(self) -> DataFrame:
@@ -55,7 +68,7 @@ class Feed:
 
     @cached_property
     def lazy_bridge(self) -> DataFrame:
-        return skills.bridge(skills.skill_pairs(self.relation), self.dim_skill)
+        return skills.bridge(self.pairs, self.dim_skill)
 
     @cached_property
     def bridge(self) -> DataFrame:
@@ -477,7 +490,7 @@ def dq_contract_broken(feed: Feed) -> DataFrame:
 @query
 def dq_normalized(feed: Feed) -> DataFrame:
     """Every declared rule of the normalized tables, over tables that break some of each kind."""
-    jobs, pairs = feed.flat_jobs, skills.skill_pairs(feed.relation)
+    jobs, pairs = feed.flat_jobs, feed.pairs
     made = {
         "companies": normalized.companies(jobs),
         "locations": dimensions.locations(jobs),
@@ -550,7 +563,7 @@ def jobs_3nf(feed: Feed) -> DataFrame:
 @query
 def job_skills_3nf(feed: Feed) -> DataFrame:
     typed = normalized.skills(feed.dim_skill, feed.relation, normalized.skill_types(feed.relation))
-    return normalized.job_skills(skills.skill_pairs(feed.relation), typed)
+    return normalized.job_skills(feed.pairs, typed)
 
 
 # --- files and tables -------------------------------------------------------

@@ -37,8 +37,7 @@ def _every(n: int) -> Column:
 def skill_literals(tables: dict[str, DataFrame]) -> DataFrame:
     """(l_orderkey, js, jt): body of the list and dict literal of each order.
 
-    Line items are partitioned by order once; both groupings and the join with
-    orders reuse that.
+    Line items are grouped by order once; the names of a type are told apart inside the order's row.
     """
     padded = F.when(
         F.col("l_linenumber") % 3 == 0, F.concat(F.lit(" "), F.upper("p_name"), F.lit(" "))
@@ -47,14 +46,21 @@ def skill_literals(tables: dict[str, DataFrame]) -> DataFrame:
     lines = (
         tables["lineitem"]
         .join(tables["part"], F.col("l_partkey") == F.col("p_partkey"))
-        .select("l_orderkey", "p_type", quoted.alias("nm"))
+        .select("l_orderkey", F.struct(F.col("p_type").alias("type"), quoted.alias("name")).alias("line"))
         .repartition("l_orderkey")
     )
-    groups = lines.groupBy("l_orderkey", "p_type").agg(F.array_sort(F.collect_list("nm")).alias("names"))
-    entry = F.concat(F.lit("'"), F.col("p_type"), F.lit("': ["), F.array_join("names", ", "), F.lit("]"))
-    return groups.groupBy("l_orderkey").agg(
-        F.array_join(F.array_sort(F.flatten(F.collect_list("names"))), ", ").alias("js"),
-        F.array_join(F.array_sort(F.collect_list(entry)), ", ").alias("jt"),
+    # Sorted by type and name, so the names of a type are in order too.
+    orders = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+
+    def entry(kind: Column) -> Column:
+        names = F.filter("lines", lambda line: line["type"] == kind)["name"]
+        return F.concat(F.lit("'"), kind, F.lit("': ["), F.array_join(names, ", "), F.lit("]"))
+
+    entries = F.transform(F.array_distinct("lines.type"), entry)
+    return orders.select(
+        "l_orderkey",
+        F.array_join(F.sort_array("lines.name"), ", ").alias("js"),
+        F.array_join(F.sort_array(entries), ", ").alias("jt"),
     )
 
 

@@ -15,7 +15,9 @@ under longer keys of two bands: texts that are alike share many bands (8 of 32 o
 average at similarity 0.8), texts that share a common passage few. There each member goes to its
 likeliest partner of another component. These steps only spare work: large buckets that still hold
 several components after them are compared pair by pair too, in blocks, so that a task holds two blocks
-whatever the size of a bucket. Candidates are verified on whole texts, and classes are connected components.
+whatever the size of a bucket. There the texts come with the members: a pair is verified where it is found, pairs that are
+linked by others no more, and only links that join components leave the task, fewer than the block has members.
+Candidates are verified on whole texts, and classes are connected components.
 
 Nodes are distinct texts (by digest), so copies meet once and are never expanded.
 
@@ -52,7 +54,9 @@ HEADS = 4
 STRIDES = 2
 LEVELS = 2
 # What then is left of large buckets is compared whole, in blocks of about BLOCK members, CHUNK of them at once.
+# A block also holds about BLOCK_BYTES of text at most, where more than one text is in it.
 BLOCK = 2048
+BLOCK_BYTES = 8 << 20
 CHUNK = 256
 
 SIGNED = "doc_id long, digest binary, bands array<long>, sketch array<long>"
@@ -206,16 +210,22 @@ def _pairs_with_heads(members: DataFrame, large: DataFrame) -> DataFrame:
     return best.select(F.least("digest", "b.digest").alias("a"), F.greatest("digest", "b.digest").alias("b")).distinct()
 
 
-def _pairs_in_blocks(members: DataFrame, sizes: DataFrame, block: int) -> DataFrame:
+def _pairs_in_blocks(members: DataFrame, sizes: DataFrame, block: int, similarity: float | None = None) -> DataFrame:
     """All likely pairs of different components within buckets (key, size) of any size.
 
     A bucket's members are dealt over blocks, and each two blocks, or one with itself, meet in a cell.
+    With `similarity` members come with their text and sizes with their bytes, and instead of the pairs those
+    links leave a cell that join its components as all of its links would.
     """
     blocks = F.ceil(F.col("size") / block).cast("int")
-    placed = members.join(sizes, "key").withColumn("own", F.pmod(F.xxhash64("digest", F.lit("block")), blocks).cast("int"))
-    placed = placed.select("key", "digest", "component", "sketch", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+    if similarity is not None:
+        blocks = F.greatest(blocks, F.ceil(F.col("bytes") / BLOCK_BYTES).cast("int"))
+    own = F.pmod(F.xxhash64("digest", F.lit("block")), blocks).cast("int")
+    placed = members.join(sizes, "key").withColumn("own", own)
+    columns = ["digest", "component", "sketch", *(["text"] if similarity is not None else [])]
+    placed = placed.select("key", *columns, "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     cell = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    rows = placed.select(cell.alias("cell"), "digest", "component", "sketch", (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
+    rows = placed.select(cell.alias("cell"), *columns, (F.col("own") <= F.col("other")).alias("low"), (F.col("own") >= F.col("other")).alias("high"))
     rows = rows.repartition("cell").sortWithinPartitions("cell")
 
     def compare(batches):
@@ -237,11 +247,15 @@ def _pairs_in_blocks(members: DataFrame, sizes: DataFrame, block: int) -> DataFr
         digests = np.array(table["digest"].to_pylist(), object)
         sketch = np.array(table["sketch"].to_pylist(), np.int64).view(np.uint64).reshape(-1, SKETCH)
         low, high = (np.flatnonzero(table[side].to_numpy()) for side in ("low", "high"))
+        linked = None if similarity is None else _links_among(table.select(["text"]), component, similarity)
         for start in range(0, len(low), CHUNK):
             at = low[start : start + CHUNK]
             bits = sum(np.bitwise_count(sketch[at, i][:, None] ^ sketch[high, i]).astype(np.int16) for i in range(SKETCH))
             x, y = np.nonzero((bits <= MOST_BITS) & (component[at][:, None] != component[high]))
-            one, other = digests[at[x]], digests[high[y]]
+            x, y = at[x], high[y]
+            if linked is not None:
+                x, y = linked(x, y)
+            one, other = digests[x], digests[y]
             if len(one):
                 swap = one > other
                 a, b = np.where(swap, other, one), np.where(swap, one, other)
@@ -250,6 +264,47 @@ def _pairs_in_blocks(members: DataFrame, sizes: DataFrame, block: int) -> DataFr
     return rows.mapInArrow(compare, "a binary, b binary").distinct()
 
 
+def _links_among(texts: pa.Table, component: np.ndarray, similarity: float):
+    """A function that of pairs (x, y) of these texts, x ascending, gives links that join their components as all do.
+
+    Joined components get one number in `component`, and pairs within one are not verified.
+    """
+    parts, seen = [], 0
+    for piece in pieces(texts.to_batches(), "text"):
+        values, owner, weight = distinct(*text_shingles(piece.column("text"), WORDS))
+        parts.append((values, owner + seen, weight))
+        seen += piece.num_rows
+    values, owner, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
+    codes = np.unique(values, return_inverse=True)[1]
+    bounds = np.searchsorted(owner, np.arange(seen + 1))
+    total = np.bincount(owner, weight, seen)
+    held = np.zeros(len(values), np.int64)
+
+    def links(x, y):
+        found = []
+        edges = [*np.flatnonzero(np.diff(x, prepend=-1)).tolist(), len(x)]
+        for start, end in zip(edges[:-1], edges[1:], strict=True):
+            one, others = x[start], y[start:end]
+            others = others[component[others] != component[one]]
+            if not len(others):
+                continue
+            own = slice(bounds[one], bounds[one + 1])
+            held[codes[own]] = weight[own]
+            lengths = bounds[others + 1] - bounds[others]
+            before = np.cumsum(lengths) - lengths
+            at = np.repeat(bounds[others] - before, lengths) + np.arange(lengths.sum())
+            shared = np.bincount(np.repeat(np.arange(len(others)), lengths), np.minimum(held[codes[at]], weight[at]), len(others))
+            held[codes[own]] = 0
+            both = total[one] + total[others]
+            for other in others[(shared >= similarity * (both - shared) - 1e-9) & (both > 0)]:
+                if component[other] != component[one]:
+                    component[component == component[other]] = component[one]
+                    found.append((one, other))
+        return (np.array(side, np.int64) for side in (zip(*found, strict=True) if found else ((), ())))
+
+    return links
+
+
 def _named(met: DataFrame, known: DataFrame) -> DataFrame:
     """Bucket members with their components, in buckets that hold several."""
     named = met.join(known.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
@@ -283,7 +338,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     given = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.unhex(F.md5(text)).alias("own"), text.alias("text"))
     texts = given.join(wanted, F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("digest")))
-    texts = written(texts.dropDuplicates(["digest"]).select("digest", "text"), "texts")
+    texts = written(texts.dropDuplicates(["digest"]).select("digest", "text", F.octet_length("text").alias("bytes")), "texts")
 
     # First every text against the likeliest of its buckets' smallest members.
     near = met.where("digest <> first.digest").withColumn("bits", _bits("sketch", "first.sketch")).where(F.col("bits") <= MOST_BITS)
@@ -314,16 +369,16 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         tried = tried.unionByName(pairs)
         if large.isEmpty():
             break
-        if level == 0:
-            whole = written(members.join(large.select("key"), "key", "left_semi").drop("component"), "whole")
-        met = _longer_keys(members.join(large.select("key"), "key", "left_semi"), nodes)
+        if level + 1 < LEVELS or level == 0:
+            left = written(members.join(large.select("key"), "key", "left_semi").drop("component"), "left")
+            whole = left if level == 0 else whole
+            met = _longer_keys(left, nodes)
 
-    # Last, large buckets that still hold several components: every likely pair not tried yet.
+    # Last, large buckets that still hold several components: every likely pair, verified in its block.
     members = _named(whole, known)
-    sizes = members.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > SMALL)
-    pairs = _pairs_in_blocks(members, written(sizes, "sizes"), BLOCK)
-    pairs = written(pairs.join(tried, ["a", "b"], "left_anti"), "last-pairs")
-    more = written(verified(pairs, texts, similarity), "last-links")
+    sizes = members.join(texts.select("digest", "bytes"), "digest").groupBy("key").agg(F.count("*").alias("size"), F.sum("bytes").alias("bytes"))
+    sizes = written(sizes.where(F.col("size") > SMALL), "sizes")
+    more = written(_pairs_in_blocks(members.join(texts.select("digest", "text"), "digest"), sizes, BLOCK, similarity), "last-links")
     joined = known if more.isEmpty() else components(links.unionByName(more), "a", "b")
 
     of = nodes.select("digest", "doc_id").join(joined.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))

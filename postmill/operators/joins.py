@@ -71,19 +71,27 @@ def _split_join(
     settled = rows.join(F.broadcast(hot_match), keys, "left_semi" if how.startswith("left_") else "inner")
     cold = rows.join(F.broadcast(hot), keys, "left_anti")
     if how in ("inner", "left_semi"):
-        met = cold.join(other, keys, how)
+        met = cold.join(_hashed(other), keys, how)
     else:
         # Rows without a key match nothing but must stay: spread them over the
         # shuffle partitions instead of sending them all to one.
         spread = F.when(_all_given(keys), F.lit(0)).otherwise(F.xxhash64(*cold.columns))
         met = (
             cold.withColumn("_spread", spread.cast("long"))
-            .join(other.withColumn("_spread", F.lit(0).cast("long")), [*keys, "_spread"], how)
+            .join(_hashed(other.withColumn("_spread", F.lit(0).cast("long"))), [*keys, "_spread"], how)
             .drop("_spread")
         )
     return settled.unionByName(met)
 
 
+def _hashed(other: DataFrame) -> DataFrame:
+    """`other` as the side of a shuffled join that is hashed, so that the rows, which are wider, are not sorted.
+
+    It holds a key once, or is only asked whether it does, so no partition of it is larger than its keys make it.
+    """
+    return other.hint("shuffle_hash")
+
+
 def hot_keys_of(counted: DataFrame, keys: list[str], hot_keys: int) -> DataFrame:
     """Keys that hold more than 1/hot_keys of the rows."""
     total = counted.count()
@@ -105,12 +113,35 @@ def _left_join(rows: DataFrame, other: DataFrame, hot: DataFrame, keys: list[str
     cold = {f"_key_{i}": F.when(~alone, F.col(k)) for i, k in enumerate(keys)}
     names = [F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)]
     right = other.select(*names, F.lit(0).cast("long").alias("_spread"), F.struct(F.lit(True).alias("hit"), *found).alias("_cold"))
-    met = tagged.withColumns({**cold, "_spread": spread}).join(right, [*cold, "_spread"], "left")
+    met = tagged.withColumns({**cold, "_spread": spread}).join(_hashed(right), [*cold, "_spread"], "left")
     value = F.coalesce("_hot", "_cold")
     order = [*keys, *[c for c in rows.columns if c not in keys]]
     return met.select(*order, *[value[c].alias(c) for c in found])
 
 
+WORD_BITS = 6
+
+
+def without_ids(rows: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Rows whose key is none of ids, which may be null or repeat; rows without a key stay.
+
+    Integer ids are held as words of 64 bits, one per 64 neighbours, and broadcast if these fit: at the worst
+    a word per id, far less where ids are dense, as numbers given out in turn are. Then no row is shuffled. Beyond the
+    limit, and for other keys, it is a `lookup`. `rows` is read more than once: pass a written table.
+    """
+    if dict(rows.dtypes)[key] not in ("int", "bigint"):
+        return lookup(rows, written(ids.select(key), "known-ids"), [key], "left_anti", limit).select(*rows.columns)
+    number = F.col(key).cast("long")
+    word, place = F.shiftright(number, WORD_BITS), number.bitwiseAND(F.lit((1 << WORD_BITS) - 1)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    words = ids.where(F.col(key).isNotNull()).groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    words = written(words, "id-words")
+    if not fits_broadcast(words, limit):
+        return lookup(rows, written(ids.select(key), "known-ids"), [key], "left_anti", limit).select(*rows.columns)
+    met = rows.withColumn("_word", word).join(F.broadcast(words), "_word", "left")
+    return met.where(F.coalesce(F.getbit("_bits", place), F.lit(0)) == 0).select(*rows.columns)
+
+
 def null_safe_lookup(
     rows: DataFrame,
     other: DataFrame,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postmill.operators.dimensions import given_names
-from postmill.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup
+from postmill.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup, without_ids
 from postmill.operators.keys import next_ids
 from postmill.operators.quality import duplicate_keys
 from postmill.session import written
@@ -18,18 +18,19 @@ def one_per_key(batch: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> Dat
     Only keys are shuffled to find those that repeat; rows with a key of their own
     stay where they are. For the others min of a struct is combined before the
     shuffle, so copies of one key never meet in one task as they would in a window.
+    Where so many keys repeat that they fit no broadcast, all rows with a key are grouped
+    at once instead, which shuffles them one time. Rows without a key stay as they are.
 
     `batch` is read more than once: pass a written table.
     """
     repeated = written(duplicate_keys(batch, [key]).select(key), "repeated-keys")
-    single = lookup(batch, repeated, [key], "left_anti", limit)
+    if fits_broadcast(repeated, limit):
+        single = lookup(batch, repeated, [key], "left_anti", limit)
+        several = lookup(batch, repeated, [key], "left_semi", limit)
+    else:
+        single, several = batch.where(F.col(key).isNull()), batch.where(F.col(key).isNotNull())
     rest = [c for c in batch.columns if c != key]
-    kept = (
-        lookup(batch, repeated, [key], "left_semi", limit)
-        .groupBy(key)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
-        .select(key, "_row.*")
-    )
+    kept = several.groupBy(key).agg(F.min(F.struct(*rest)).alias("_row")).select(key, "_row.*")
     return single.unionByName(kept)
 
 
@@ -39,17 +40,16 @@ def absent_rows(
     """Rows of batch, one per key, whose key is not in target; null keys are dropped.
 
     A batch whose keys fit a broadcast is checked by one scan of target's key
-    column, without a shuffle of target; a larger one is joined by shuffle, where
-    both sides hold each key once. `unique` tells that no key repeats in batch.
+    column, without a shuffle of target. Rows that target holds are dropped first, so
+    only new ones are made one per key. `unique` tells that no key repeats in batch.
     """
     batch = batch.where(F.col(key).isNotNull())
     keys = batch.select(key)
-    if not unique:
-        batch = one_per_key(batch, key, limit)
     held = target.select(key)
     if fits_broadcast(keys, limit):
         held = held.join(F.broadcast(keys), key, "left_semi")
-    return batch.join(held, key, "left_anti")
+    new = without_ids(batch, held, key, limit)
+    return new if unique else one_per_key(new, key, limit)
 
 
 def insert_absent(target: DataFrame, batch: DataFrame, key: str, unique: bool = False) -> DataFrame:

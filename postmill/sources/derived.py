@@ -68,8 +68,7 @@ def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw postings with job_id, all other columns text."""
     t = load(spark, sf_dir)
     rows = (
-        # Partitioned as the literals are, which the last of these joins needs in any case.
-        t["orders"].repartition("o_orderkey")
+        t["orders"]
         .join(t["customer"], F.col("c_custkey") == F.col("o_custkey"))
         .join(t["nation"], F.col("n_nationkey") == F.col("c_nationkey"))
         .join(t["region"], F.col("r_regionkey") == F.col("n_regionkey"))

@@ -21,8 +21,9 @@ from postmill.operators.cleaning import clean_postings, core_columns, skills_as_
 from postmill.operators.dimensions import dim_company, dim_skill, locations
 from postmill.operators.keys import file_row_ids
 from postmill.operators.loading import backfill_key, one_per_key, with_empty_key
-from postmill.operators.skills import all_skills, bridge, skill_pairs, skill_pairs_in_row
+from postmill.operators.skills import all_skills, bridge, relation_in_row, skill_pairs, skill_pairs_by_job, skills_by_job
 from postmill.plans import marts, normalized
+from postmill.session import written
 from postmill.sources.files import read_postings
 from postmill.sources.tables import create_layers, publish, write_table
 
@@ -82,9 +83,11 @@ def build_core(run: Run, staging: DataFrame) -> None:
 
 def build_skills(run: Run, staging: DataFrame) -> None:
     unique = run.unique_jobs
-    relation = run.write("staging", "job_skill_all", all_skills(staging, unique_jobs=unique))
+    # Texts are parsed and names folded once, for the relation as for the pairs.
+    by_job = written(skills_by_job(staging), "skills-by-job") if unique else None
+    relation = run.write("staging", "job_skill_all", relation_in_row(by_job) if unique else all_skills(staging))
     skills = run.write("core", "dim_skill", dim_skill(relation))
-    pairs = skill_pairs_in_row(staging) if unique else skill_pairs(relation)
+    pairs = skill_pairs_by_job(by_job) if unique else skill_pairs(relation)
     run.write("core", "bridge_job_skill", bridge(pairs, skills))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from postmill.fixed import RAW_COLUMNS
 from postmill.functions.literals import DICT_LITERAL, LIST_LITERAL, PLAIN_DICT, PLAIN_LIST
 from postmill.operators import losses, skills
-from postmill.plans import ledger
+from postmill.plans import ledger, warehouse
 
 
 def rows_of(df):
@@ -48,3 +48,14 @@ def test_new_postings_hold_what_is_read_of_them(spark, tmp_path):
     state = ledger.append(raw(2, 3), str(tmp_path))
     new = state.table(spark, "staging.new_postings")
     assert [r.job_id for r in new.collect()] == [3] and new.columns == ledger.NEW_COLUMNS
+
+
+def test_a_one_shot_run_parses_the_texts_of_unique_jobs_once(spark, tmp_path, monkeypatch):
+    rows = [(i, f"['a', 'B{i % 3}']", "{'g': ['a', 'c']}") for i in range(9)]
+    given = spark.createDataFrame(rows, "job_id long, job_skills string, job_type_skills string")
+    raw = given.select("job_id", *[F.col(c) if c in given.columns else F.lit(None).cast("string").alias(c) for c in RAW_COLUMNS])
+    seen = []
+    parse = skills.dict_literal
+    monkeypatch.setattr(skills, "dict_literal", lambda text: seen.append(text) or parse(text))
+    run = warehouse.run_batch(raw, str(tmp_path))
+    assert len(seen) == 1 and run["job_skill_all"].count() == 36 and run["bridge_job_skill"].count() == 27

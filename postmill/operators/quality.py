@@ -236,17 +236,18 @@ def declared_constraints(tables: dict[str, DataFrame], declared: dict[str, Decla
     rows is one entry per task; a promise is broken where a value counts more than once or has no parent.
     """
     names = [name for table, d in declared.items() for name in promises(table, d)]
-    rows = reduce(DataFrame.unionByName, [_entries(tables[t], t, d, declared) for t, d in declared.items()])
-    counts = rows.groupBy("check", "value").agg(F.sum("held").alias("held"), F.max("parent").alias("parent"))
-    kind = F.element_at(F.split("check", "_"), -1)
+    numbers = {name: i for i, name in enumerate(names)}
+    rows = reduce(DataFrame.unionByName, [_entries(tables[t], t, d, declared, numbers) for t, d in declared.items()])
+    counts = rows.groupBy("number", "value").agg(F.sum("held").alias("held"), F.max("parent").alias("parent"))
+    of = lambda kind: F.col("number").isin([i for n, i in numbers.items() if n.endswith(f"_{kind}")])
     broken = (
-        F.when(kind == "null", F.col("held"))
-        .when(kind == "duplicate", (F.col("held") > 1).cast("long"))
+        F.when(of("null"), F.col("held"))
+        .when(of("duplicate"), (F.col("held") > 1).cast("long"))
         .otherwise(F.when(F.col("parent") == 0, F.col("held")).otherwise(F.lit(0)))
     )
-    found = counts.groupBy("check").agg(F.sum(broken).alias("violations"))
-    every = found.sparkSession.createDataFrame([(n,) for n in names], "check string")
-    return every.join(F.broadcast(found), "check", "left").select("check", F.coalesce("violations", F.lit(0)).alias("violations"))
+    found = counts.groupBy("number").agg(F.sum(broken).alias("violations"))
+    every = found.sparkSession.createDataFrame([(i, n) for n, i in numbers.items()], "number int, check string")
+    return every.join(F.broadcast(found), "number", "left").select("check", F.coalesce("violations", F.lit(0)).alias("violations"))
 
 
 def promises(table: str, d: Declared) -> list[str]:
@@ -255,18 +256,25 @@ def promises(table: str, d: Declared) -> list[str]:
     return [*keys, *[f"{table}_{c}_null" for c in d.required()], *[f"{table}_{c}_orphan" for c in d.references]]
 
 
-def _entries(df: DataFrame, table: str, d: Declared, declared: dict[str, Declared]) -> DataFrame:
-    """(check, value, held, parent) of a table's rows; nulls break no uniqueness and refer to nothing."""
+def _key_text(df: DataFrame, key: tuple[str, ...]) -> Column:
+    """One text per key, null if any part is. Integers need no quotes to be told apart."""
+    kinds = dict(df.dtypes)
+    plain = all(kinds[c] in ("int", "bigint") for c in key)
+    text = F.concat_ws(",", *[F.col(c).cast("string") for c in key]) if plain else F.to_json(F.struct(*key))
+    return F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key]), text)
+
+
+def _entries(df: DataFrame, table: str, d: Declared, declared: dict[str, Declared], numbers: dict[str, int]) -> DataFrame:
+    """(number, value, held, parent) of a table's rows, with each check's number; nulls break no uniqueness and refer to nothing."""
 
     def entry(check: str, value: Column, parent: bool = False) -> Column:
         made = F.struct(
-            F.lit(check).alias("check"), value.alias("value"), F.lit(int(not parent)).cast("long").alias("held"), F.lit(int(parent)).alias("parent")
+            F.lit(numbers[check]).alias("number"), value.alias("value"), F.lit(int(not parent)).cast("long").alias("held"), F.lit(int(parent)).alias("parent")
         )
         return F.when(value.isNotNull(), made)
 
     text = lambda c: F.col(c).cast("string")
-    whole_key = F.when(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in d.key]), F.to_json(F.struct(*d.key)))
-    entries = [entry(f"{table}_pk_duplicate", whole_key)]
+    entries = [entry(f"{table}_pk_duplicate", _key_text(df, d.key))]
     entries += [entry(f"{table}_{c}_duplicate", text(c)) for c in d.unique]
     entries += [entry(f"{table}_{c}_null", F.when(F.col(c).isNull(), F.lit(""))) for c in d.required()]
     entries += [entry(f"{table}_{c}_orphan", text(c)) for c in d.references]

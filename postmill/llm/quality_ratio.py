@@ -38,12 +38,16 @@ SYMBOL = r"[#*$%&|<>]"
 BITMAP_BYTES = 4096
 
 
+def bucket_of(buckets: int, *gram: Column) -> Column:
+    """Bucket number of a word, or of a pair of words."""
+    return F.pmod(F.xxhash64(*gram), F.lit(buckets)).cast("int")
+
+
 def hashed_grams(own: Column, buckets: int) -> Column:
     """Bucket numbers of a word array's words and neighbouring pairs."""
-    place = lambda *words: F.pmod(F.xxhash64(*words), F.lit(buckets)).cast("int")
     pairs = F.greatest(F.size(own) - 1, F.lit(0))
-    single = F.transform(own, lambda w: place(w))
-    return F.concat(single, F.zip_with(F.slice(own, 1, pairs), F.slice(own, 2, pairs), lambda a, b: place(a, b)))
+    single = F.transform(own, lambda w: bucket_of(buckets, w))
+    return F.concat(single, F.zip_with(F.slice(own, 1, pairs), F.slice(own, 2, pairs), lambda a, b: bucket_of(buckets, a, b)))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -66,12 +70,26 @@ def with_trust(rows: DataFrame, good: DataFrame, limit: int = BROADCAST_BYTES) -
     return met.withColumn("_byte", byte).withColumn("good", F.coalesce(held, F.lit(0))).drop("_map", "_bit", "_bits", "_byte")
 
 
-def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
-    """Per bucket the log of target over raw probability."""
+def gram_counts(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """bucket, raw and target: how often each bucket occurs in all documents and in trusted ones.
+
+    Every word is made a row before it is hashed, alone and with the next one: Spark compiles
+    hashes of rows, but interprets a function of an array's elements.
+    """
     good = written(trusted_ids(labels), "trusted")
     marked = with_trust(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")), good)
-    grams = marked.select("good", F.explode(hashed_grams(words(F.col("text")), buckets)).alias("bucket"))
-    counts = grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target")).collect()
+    own = marked.select("good", words(F.col("text")).alias("own"))
+    # A plain posexplode gets a filter on the array's size, for which each text would be split twice.
+    each = own.select("good", "own", F.posexplode_outer("own").alias("place", "word")).where("word is not null")
+    word, after = F.col("word"), F.get("own", F.col("place") + 1)
+    both = F.array(bucket_of(buckets, word), F.when(after.isNotNull(), bucket_of(buckets, word, after)))
+    grams = each.select("good", F.explode(both).alias("bucket")).where("bucket is not null")
+    return grams.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("target"))
+
+
+def log_ratios(docs: DataFrame, labels: DataFrame, buckets: int = BUCKETS) -> list[float]:
+    """Per bucket the log of target over raw probability."""
+    counts = gram_counts(docs, labels, buckets).collect()
     raw_total = sum(r.raw for r in counts) + SMOOTHING * buckets
     target_total = sum(r.target for r in counts) + SMOOTHING * buckets
     if target_total == SMOOTHING * buckets:

@@ -14,7 +14,7 @@ def text_of(name: str = "text") -> Column:
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACE), lambda w: w != "")
+    return F.array_remove(F.split(text, SPACE), "")
 
 
 def word_count(text: Column) -> Column:

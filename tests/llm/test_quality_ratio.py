@@ -148,3 +148,20 @@ def test_filters_do_not_reach_into_the_windows(spark):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         filters = [line for line in plan.split("\n") if "Filter" in line]
         assert plan.count("sort_array") == 1 and filters and max(map(len, filters)) < 5000
+
+
+def test_grams_are_counted_in_compiled_code_from_one_split(spark):
+    rows, buckets = corpus(), 512
+    trusted = {9, 10, 11, 12, 40}
+    labels = spark.createDataFrame([(i, 1, 0) for i in trusted] + [(13, 0, 0), (1000, 1, 0)], "doc_id long, quality int, toxic int")
+    counts = quality_ratio.gram_counts(spark.createDataFrame(rows, DOCS), labels, buckets)
+    hashed = hashes(spark, rows, buckets)
+    raw, target = Counter(), Counter()
+    for doc, text in rows:
+        own = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        grams = [hashed[w] for w in own] + [hashed[p] for p in itertools.pairwise(own)]
+        raw.update(grams)
+        target.update(grams if doc in trusted else [])
+    assert {r.bucket: (r.raw, r.target) for r in counts.collect()} == {b: (n, target[b]) for b, n in raw.items()}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and plan.count("split(") == 1

@@ -20,6 +20,7 @@ repeated items and documents are reported each. Other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,8 @@ CONTAINED = 0.8
 # The estimate's standard deviation is at most 0.05 with 64 functions: six are allowed.
 LIKELY = 0.5
 BLOCK_BYTES = 8 << 20
+# Text of a batch that is worked on at once; its arrays take some forty times as much.
+PIECE_BYTES = 1 << 20
 
 
 def functions_for(size: int) -> int:
@@ -91,6 +94,14 @@ class Index:
                 yield text, item, float(exact)
 
 
+def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """The batches in pieces, each with the distinct shingles of its texts and the text of each."""
+    for batch in pieces(batches, "text", PIECE_BYTES):
+        values, owner = text_shingles(batch.column("text"), WORDS, PUNCTUATION, lower=True, short=False)
+        values, owner, _ = distinct(values, owner)
+        yield batch, values, owner
+
+
 def item_blocks(benchmark: DataFrame, block_bytes: int):
     """Blocks of (item_id, text), each of about block_bytes, read one after the other."""
     size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text") + 32), F.lit(0))).first()[0]
@@ -111,9 +122,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BL
 
         def search(batches, index=index):
             ids, known = index.value
-            for batch in pieces(batches, "text"):
-                values, owner = text_shingles(batch.column("text"), WORDS, PUNCTUATION, lower=True, short=False)
-                values, owner, _ = distinct(values, owner)
+            for batch, values, owner in shingled(batches):
                 doc = batch.column("doc_id").to_pylist()
                 rows = [(doc[t], ids[i], c) for t, i, c in known.search(values, owner, batch.num_rows)]
                 if rows:
@@ -133,9 +142,7 @@ def without_items(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOC
         index = docs.sparkSession.sparkContext.broadcast(Index(texts))
 
         def clean(batches, index=index):
-            for batch in pieces(batches, "text"):
-                values, owner = text_shingles(batch.column("text"), WORDS, PUNCTUATION, lower=True, short=False)
-                values, owner, _ = distinct(values, owner)
+            for batch, values, owner in shingled(batches):
                 bad = [t for t, _, _ in index.value.search(values, owner, batch.num_rows)]
                 keep = np.ones(batch.num_rows, dtype=bool)
                 keep[bad] = False
